@@ -98,6 +98,8 @@ v hear: hears heard hearing
 v enter: enters entered entering
 v read: reads reading
 v ring: rings rang rung ringing
+v heat: heats heated heating
+v hand: hands handed handing
 n account: accounts
 n card: cards
 n fee: fees
@@ -115,13 +117,9 @@ n company: companies
 n letter: letters
 n number: numbers
 n thing: things
-n hand: hands
-n ear: ears
-n inn: inns
-n ant: ants
-n heron: herons
-n nation: nations
-n station: stations
+n one: ones
+n stone: stones
+n shore: shores
 """
 
 # --- fixed values: chunking, sampling, retrieval, scoring ---------------------------------

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, CountVectorizerModel, Normalizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaintlens import constants as K
 
@@ -58,10 +59,10 @@ def embed_with(
     """Embed with a caller's model. ``make_encoder`` runs once per task and returns a function
     from a list of texts to one vector each."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = make_encoder()
-        for frame in frames:
-            texts = frame[text_column].tolist()
+        for batch in batches:
+            texts = batch.column(text_column).to_pylist()
             vectors: list[np.ndarray] = []
             for start in range(0, len(texts), batch_size):
                 block = np.asarray(encode(texts[start : start + batch_size]), dtype="float32")
@@ -69,10 +70,14 @@ def embed_with(
                     norms = np.linalg.norm(block, axis=1, keepdims=True)
                     block = block / np.where(norms == 0, 1, norms)
                 vectors.extend(block)
-            yield frame.assign(**{out: vectors})
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(vectors, pa.list_(pa.float32()))],
+                names=[*batch.schema.names, out],
+            )
 
-    schema = df.drop(out).schema.add(out, "array<float>")
-    return df.drop(out).mapInPandas(run, schema)
+    df = df.drop(out)
+    schema = T.StructType([*df.schema.fields]).add(out, T.ArrayType(T.FloatType()))
+    return df.mapInArrow(run, schema)
 
 
 def pca_2d(

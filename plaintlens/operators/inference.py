@@ -10,9 +10,10 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plaintlens import constants as K
 from plaintlens.functions.prompt import answer_prompt, context_block, judge_prompt
@@ -63,33 +64,37 @@ def infer(
 ) -> DataFrame:
     """Add the model's reply to every prompt, and the error text where the call failed.
 
-    ``parallelism`` repartitions first and so bounds the number of concurrent callers.
+    Rows without a prompt pass through without a call, and a task that has none never makes a
+    client. Other columns travel as Arrow buffers and are not converted. ``parallelism``
+    repartitions first and so bounds the number of concurrent callers.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = make_client()
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client = None
+        for batch in batches:
             replies: list[str | None] = []
             errors: list[str | None] = []
-            for prompt in frame[prompt_column]:
-                try:
-                    reply = call_with_retry(client, prompt, max_tokens, attempts, backoff)
-                    replies.append(reply)
-                    errors.append(None)
-                except Exception as error:
-                    replies.append(None)
-                    errors.append(str(error) or type(error).__name__)
-            yield frame[[key, prompt_column]].assign(
-                **{reply_column: replies, error_column: errors}
+            for prompt in batch.column(prompt_column).to_pylist():
+                reply = error = None
+                if prompt is not None:
+                    try:
+                        client = client or make_client()
+                        reply = call_with_retry(client, prompt, max_tokens, attempts, backoff)
+                    except Exception as failure:
+                        error = str(failure) or type(failure).__name__
+                replies.append(reply)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(replies, pa.string()), pa.array(errors, pa.string())],
+                names=[*batch.schema.names, reply_column, error_column],
             )
 
-    key = "question_id"
-    prompts = df.select(key, prompt_column)
     if parallelism:
-        prompts = prompts.repartition(parallelism)
-    schema = prompts.schema.add(reply_column, "string").add(error_column, "string")
-    called = prompts.mapInPandas(run, schema).drop(prompt_column)
-    return df.join(called, key, "left")
+        df = df.repartition(parallelism)
+    schema = T.StructType([*df.schema.fields]).add(reply_column, "string").add(
+        error_column, "string"
+    )
+    return df.mapInArrow(run, schema)
 
 
 def with_sources(questions: DataFrame, hits: DataFrame) -> DataFrame:
@@ -126,25 +131,20 @@ def generate_answers(
 ) -> DataFrame:
     """Answer every prompted question; without hits a fixed message and no call.
 
-    Adds answer and generation_error. The model sees only rows that need it.
+    Adds answer and generation_error.
     """
-    prompted = df.filter(F.col("prompt").isNotNull())
     called = infer(
-        prompted, make_client, "prompt", "_reply", "_error", max_tokens, attempts, backoff,
-        parallelism,
-    )
+        df, make_client, "prompt", "_reply", "_error", max_tokens, attempts, backoff, parallelism
+    )
     failed = F.col("_error").isNotNull()
-    answered = called.select(
+    return called.select(
         *df.columns,
-        F.when(failed, F.lit(K.ANSWER_FAILURE_MESSAGE)).otherwise(F.col("_reply")).alias("answer"),
+        F.when(F.col("prompt").isNull(), F.lit(K.NO_CONTEXT_MESSAGE))
+        .when(failed, F.lit(K.ANSWER_FAILURE_MESSAGE))
+        .otherwise(F.col("_reply"))
+        .alias("answer"),
         failed.alias("generation_error"),
     )
-    unprompted = df.filter(F.col("prompt").isNull()).select(
-        "*",
-        F.lit(K.NO_CONTEXT_MESSAGE).alias("answer"),
-        F.lit(False).alias("generation_error"),
-    )
-    return answered.unionByName(unprompted)
 
 
 def judge_answers(

@@ -114,18 +114,15 @@ def histogram(df: DataFrame, column: str, bins: int, clip_at: float | None = Non
         upper = freq.agg(F.percentile("value", F.lit(clip_at), F.col("n"))).scalar()
         value = F.least(value, upper)
     freq = freq.select(value.alias("value"), "n")
-    lowest, highest = freq.agg(F.min("value")).scalar(), freq.agg(F.max("value")).scalar()
-    ranged = freq.select(
-        "value", "n", lowest.alias("lowest"), highest.alias("highest")
-    ).select(
+    bounds = freq.agg(
+        F.struct(F.min("value").alias("lowest"), F.max("value").alias("highest"))
+    ).scalar()
+    flat = F.col("b.lowest") == F.col("b.highest")
+    ranged = freq.select("value", "n", bounds.alias("b")).select(
         "value",
         "n",
-        F.when(F.col("lowest") == F.col("highest"), F.col("lowest") - 0.5)
-        .otherwise(F.col("lowest"))
-        .alias("lo"),
-        F.when(F.col("lowest") == F.col("highest"), F.col("highest") + 0.5)
-        .otherwise(F.col("highest"))
-        .alias("hi"),
+        F.when(flat, F.col("b.lowest") - 0.5).otherwise(F.col("b.lowest")).alias("lo"),
+        F.when(flat, F.col("b.highest") + 0.5).otherwise(F.col("b.highest")).alias("hi"),
     )
     index = F.floor((F.col("value") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))
     width = (F.col("hi") - F.col("lo")) / bins

@@ -110,6 +110,11 @@ def latest_run(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("run_timestamp") == newest)
 
 
+def read_history(spark: SparkSession, results_dir: str) -> DataFrame:
+    """One line per saved run."""
+    return spark.read.schema(S.HISTORY).option("header", True).csv(f"{results_dir}/history")
+
+
 def open_collection(spark: SparkSession, store_dir: str, collection: str) -> DataFrame:
     return spark.read.parquet(f"{store_dir}/{collection}")
 

@@ -17,6 +17,8 @@ def write_cleaned_complaints(df: DataFrame, path: str, fmt: str = "parquet") ->
             .option("header", True)
             .option("quote", '"')
             .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .csv(path)
         )
     else:
