@@ -25,7 +25,7 @@ from plaintlens.functions.text import strip
 _MARK = "\ufdd0"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -38,9 +38,10 @@ def _characters(text: Column, size: int, overlap: int) -> Column:
     """Fixed windows over a text that has no separator left; its length is at least ``size``."""
     step = max(size - overlap, 1)
     last = F.ceil(F.greatest(F.length(text) - size, F.lit(0)) / step).cast("int")
-    return F.transform(
+    windows = F.transform(
         F.sequence(F.lit(0), last), lambda i: strip(F.substr(text, i * step + 1, F.lit(size)))
     )
+    return F.filter(windows, lambda d: d != "")
 
 
 def _split(text: Column, separators: Sequence[str], size: int, overlap: int) -> Column:
@@ -92,9 +93,9 @@ def _split(text: Column, separators: Sequence[str], size: int, overlap: int) ->
                     F.array_append(docs, strip(restore(F.substr(rest, F.lit(1), cut - 1)))),
                 )
 
-            return _let(next_len, advance)
+            return let(next_len, advance)
 
-        return _let(cut, from_cut)
+        return let(cut, from_cut)
 
     def step(st: Column, _: Column) -> Column:
         rest, docs = st["rest"], st["docs"]
@@ -115,7 +116,7 @@ def _split(text: Column, separators: Sequence[str], size: int, overlap: int) ->
             F.substr(rest, F.lit(1), F.lit(size + width)).alias("window"),
             F.position(sep, rest, F.lit(2)).alias("after"),
         )
-        return F.when(rest == "", st).otherwise(_let(view, look))
+        return F.when(rest == "", st).otherwise(let(view, look))
 
     # Any two consecutive steps move on by more than size - overlap characters.
     steps = F.ceil(F.length(text) / max(size - overlap, 1)).cast("int") * 2 + 2
@@ -137,7 +138,7 @@ def split_text(
     """Array of overlapping chunks of ``text``, none longer than ``size`` characters."""
     if size < 1 or overlap < 0 or overlap > size:
         raise ValueError("need size >= 1 and 0 <= overlap <= size")
-    return F.filter(_split(text, separators, size, overlap), lambda d: d != "")
+    return _split(text, separators, size, overlap)
 
 
 def split_cleaned(

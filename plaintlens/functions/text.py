@@ -1,7 +1,7 @@
 """Text cleaning and normalisation as native column expressions (no Python workers).
 
-Patterns are written with explicit Unicode classes because ``\\w``, ``\\d`` and ``\\s`` are
-ASCII-only in Java unless asked otherwise, while the rules are defined on Unicode text.
+The rules are defined on Unicode text, while ``\\w``, ``\\d`` and ``\\s`` are ASCII-only in Java
+unless asked otherwise, so the patterns ask for it or name the classes.
 """
 
 from __future__ import annotations
@@ -14,28 +14,26 @@ from pyspark.sql import functions as F
 
 from plaintlens import constants as K
 
-_WS_RANGES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WS = f"[{_WS_RANGES}]"
-NOT_WS = f"[^{_WS_RANGES}]"
+# With (?U) ``\s`` and ``\S`` are Unicode white space and its complement, except that the four
+# separators \x1c-\x1f count as white space only by the rule followed here.
+WS = r"[\s\x1c-\x1f]"
+NOT_WS = r"[\S&&[^\x1c-\x1f]]"
 _WORD = r"[\p{L}\p{N}_]"
 _END = rf"(?!{_WORD})"
 
 # Each pattern begins with something that fails fast on ordinary letters; the look-behind that
 # stands for a Unicode word boundary comes only after the first characters have matched.
-URLS = rf"[hw](?:ttp|ww){NOT_WS}+"
-PHONE_SHORT = (
-    rf"\p{{Nd}}(?<!{_WORD}\p{{Nd}})\p{{Nd}}{{2}}[-.{_WS_RANGES}]?\p{{Nd}}{{4}}{_END}"
-)
+URLS = rf"(?U)[hw](?:ttp|ww){NOT_WS}+"
+_GAP = r"[-.\s\x1c-\x1f]?"
+PHONE_SHORT = rf"(?U)\p{{Nd}}(?<!{_WORD}\p{{Nd}})\p{{Nd}}{{2}}{_GAP}\p{{Nd}}{{4}}{_END}"
 PHONE_LONG = (
-    rf"\p{{Nd}}(?<!{_WORD}\p{{Nd}})\p{{Nd}}{{2}}[-.{_WS_RANGES}]?\p{{Nd}}{{3}}"
-    rf"[-.{_WS_RANGES}]?\p{{Nd}}{{4}}{_END}"
+    rf"(?U)\p{{Nd}}(?<!{_WORD}\p{{Nd}})\p{{Nd}}{{2}}{_GAP}\p{{Nd}}{{3}}{_GAP}\p{{Nd}}{{4}}{_END}"
 )
 ACCOUNT_IDS = rf"[a-z]{{2}}\p{{Nd}}(?<!{_WORD}[a-z]{{2}}\p{{Nd}})\p{{Nd}}{{9,}}{_END}"
 REDACTIONS = "x{2,}"
 TAGS = r"<[^\n]*?>"
-PUNCTUATION = rf"[[^a-z \n]&&[^\p{{L}}\p{{N}}_{_WS_RANGES}]]"
-# Runs of white space other than one plain space, which would be replaced by itself.
-WS_RUNS = rf"[[{_WS_RANGES}]&&[^ ]]{WS}*| {WS}+"
+PUNCTUATION = r"(?U)[[^a-z \n]&&[^\p{L}\p{N}_\s\x1c-\x1f]]"
+WS_RUNS = rf"(?U){WS}+"
 
 
 def strip(c: Column) -> Column:
@@ -49,7 +47,7 @@ def is_blank(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(f"{NOT_WS}+"))
+    return F.regexp_count(c, F.lit(f"(?U){NOT_WS}+"))
 
 
 def excerpt(c: Column, n: int) -> Column:
@@ -76,7 +74,7 @@ def strip_openers(c: Column) -> Column:
     for _ in range(K.OPENER_PASSES):
         for pattern in K.OPENER_PATTERNS:
             stripped = F.regexp_replace(stripped, f"(?iU){pattern}", "")
-    may_open = F.substring(text, 1, 5).rlike(rf"^(?i:i[{_WS_RANGES}'a]|this|to{WS})")
+    may_open = F.substring(text, 1, 5).rlike(rf"^(?U)(?:i[\s\x1c-\x1f'a]|this|to{WS})")
     return F.when(may_open, strip(stripped)).otherwise(text)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens import constants as K
-from plaintlens.functions.chunk import split_cleaned, split_text
+from plaintlens.functions.chunk import let, split_cleaned, split_text
 from plaintlens.functions.text import excerpt, is_blank
 
 
@@ -25,28 +25,26 @@ def chunk_table(
     """Split every non-blank text; a narrow map, no shuffle and no Python worker.
 
     ``cleaned=True`` promises single-spaced text without line breaks and uses the two separators
-    that can occur there; pass False for raw text.
+    that can occur there; pass False for raw text. The generator takes the split expression
+    itself, so each text is split exactly once.
     """
     split = split_cleaned if cleaned else split_text
-    return (
-        df.filter(~is_blank(F.col(text_column)))
-        .select(
-            F.col(id_column).cast("string").alias("complaint_id"),
-            F.col(category).cast("string").alias("product_category"),
-            *keep,
-            split(F.col(text_column), size, overlap).alias("_chunks"),
-        )
-        .withColumn("total_chunks", F.size("_chunks"))
-        .select(
-            "complaint_id",
-            "product_category",
-            *keep,
-            "total_chunks",
-            F.posexplode("_chunks").alias("chunk_index", "chunk_text"),
-        )
-        .select(
-            "complaint_id", "product_category", "chunk_index", "total_chunks", "chunk_text", *keep
+
+    def rows(pieces: Column) -> Column:
+        return F.transform(
+            pieces,
+            lambda piece, i: F.struct(
+                i.alias("chunk_index"),
+                F.size(pieces).alias("total_chunks"),
+                piece.alias("chunk_text"),
+            ),
         )
+
+    return df.filter(~is_blank(F.col(text_column))).select(
+        F.col(id_column).cast("string").alias("complaint_id"),
+        F.col(category).cast("string").alias("product_category"),
+        F.inline(let(split(F.col(text_column), size, overlap), rows)),
+        *keep,
     )
 
 

@@ -44,11 +44,15 @@ def with_narrative(df: DataFrame, column: str = "narrative") -> DataFrame:
 def clean_narratives(
     df: DataFrame, cleaner: Column | None = None, column: str = "narrative"
 ) -> DataFrame:
-    """Add ``cleaned_narrative`` and drop rows that cleaning left empty."""
+    """Add ``cleaned_narrative`` and drop rows that cleaning left empty.
+
+    The cleaned text comes out of a generator that yields nothing for an empty one. A plain
+    filter on the new column would be pushed below the projection and the category join, and
+    would clean every text a second time, unwanted categories included.
+    """
     cleaned = T.clean_text(F.col(column)) if cleaner is None else cleaner
-    return df.withColumn("cleaned_narrative", cleaned).filter(
-        F.length("cleaned_narrative") > 0
-    )
+    kept = F.filter(F.array(cleaned), lambda t: F.length(t) > 0)
+    return df.select("*", F.explode(kept).alias("cleaned_narrative"))
 
 
 def openers_shown(df: DataFrame, n: int = 3, column: str = "narrative") -> DataFrame:

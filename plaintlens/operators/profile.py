@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from plaintlens.session import cut_lineage
+
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency of each non-null value, most frequent first."""
@@ -106,9 +108,10 @@ def histogram(df: DataFrame, column: str, bins: int, clip_at: float | None = Non
     """Equal-width bins over the observed range; the maximum belongs to the last bin.
 
     ``clip_at`` first lowers larger values to that (linear) percentile. Bins without rows are
-    left out. When all values are equal the range is widened by one half on both sides.
+    left out. When all values are equal the range is widened by one half on both sides. The
+    value -> count table is written once; percentile, range and bins all come from it.
     """
-    freq = frequencies(df, column)
+    freq = cut_lineage(frequencies(df, column))
     value = F.col("value").cast("double")
     if clip_at is not None:
         upper = freq.agg(F.percentile("value", F.lit(clip_at), F.col("n"))).scalar()

@@ -362,8 +362,10 @@ def chunk_length_histogram(spark, d):
 
 
 def first_multichunk(spark, d):
+    path = scratch_path(spark, "chunks")
+    chunk_rows(spark, d).write.parquet(path)
     return chunking.first_multichunk(
-        chunk_rows(spark, d), F.col("complaint_id").cast("bigint")
+        spark.read.parquet(path), F.col("complaint_id").cast("bigint")
     )
 
 
