@@ -86,7 +86,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(-1, dim)
+    return flat.reshape(len(column), dim)
 
 
 def _texts(column: pa.Array) -> np.ndarray:
@@ -95,7 +95,7 @@ def _texts(column: pa.Array) -> np.ndarray:
 
 def _with_few_questions(rows, store: DataFrame, k: int, dim: int) -> DataFrame:
     ids = [r["question_id"] for r in rows]
-    vectors = np.array([r["embedding"] for r in rows], dtype="float64").reshape(-1, dim)
+    vectors = np.array([r["embedding"] for r in rows], dtype="float64").reshape(len(ids), dim)
     categories = [r["filter_category"] for r in rows]
     packed = store.sparkSession.sparkContext.broadcast((ids, vectors, categories))
 
@@ -169,6 +169,7 @@ def nearest(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dim")
     ).first()
     n, dim = size["n"], size["dim"]
+    questions = questions.filter(F.size("embedding") == dim)
     if category not in store.columns:
         store = store.withColumn(category, F.lit(""))
     store = store.filter(F.size("embedding") == dim).select(

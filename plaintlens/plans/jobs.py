@@ -115,10 +115,9 @@ def ingest_embeddings(
     """Pre-embedded table -> store without embedding again; returns the one-row manifest."""
     started = datetime.now(timezone.utc)
     taken = source if limit_rows is None else source.limit(limit_rows)
-    store_path = writers.write_collection(
-        metadata.flatten_metadata(taken), output_dir, collection, layout
-    )
-    store = spark.read.parquet(store_path)
+    flat = metadata.flatten_metadata(taken)
+    writers.write_collection(flat, output_dir, collection, layout)
+    store = readers.open_collection(spark, output_dir, collection, flat.schema)
     counts = metadata.category_counts(store.na.fill("", ["product_category"]))
     n_source = source.agg(F.count(F.lit(1))).scalar()
     manifest = store.agg(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plaintlens import schemas as S
 
@@ -93,8 +94,6 @@ def read_results_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _as_struct(ddl: str) -> str:
-    from pyspark.sql.types import StructType
-
     return StructType.fromDDL(ddl).simpleString()[len("struct<") : -1]
 
 
@@ -115,8 +114,12 @@ def read_history(spark: SparkSession, results_dir: str) -> DataFrame:
     return spark.read.schema(S.HISTORY).option("header", True).csv(f"{results_dir}/history")
 
 
-def open_collection(spark: SparkSession, store_dir: str, collection: str) -> DataFrame:
-    return spark.read.parquet(f"{store_dir}/{collection}")
+def open_collection(
+    spark: SparkSession, store_dir: str, collection: str, schema: StructType | None = None
+) -> DataFrame:
+    """A stored collection; a store without rows has no file to infer from and needs ``schema``."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{store_dir}/{collection}")
 
 
 def collection_size(store: DataFrame) -> DataFrame:
