@@ -6,6 +6,7 @@ unless asked otherwise, so the patterns ask for it or name the classes.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from zlib import crc32
 
@@ -127,11 +128,11 @@ def _lookup(lexicon: Mapping[str, str], buckets: int = 64) -> Column | None:
     """
     if not lexicon:
         return None
-    slots: list[list[Column]] = [[] for _ in range(buckets)]
+    slots: list[dict[str, str]] = [{} for _ in range(buckets)]
     for surface, lemma in lexicon.items():
-        slots[crc32(surface.encode()) % buckets] += [F.lit(surface), F.lit(lemma)]
-    empty = F.create_map().cast("map<string,string>")
-    return F.array(*[F.create_map(*slot) if slot else empty for slot in slots])
+        slots[crc32(surface.encode()) % buckets][surface] = lemma
+    # one literal, folded into a constant by the optimizer
+    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,string>>")
 
 
 def _replace_from(table: Column, buckets: int):

@@ -17,10 +17,15 @@ def product_dimension(
     spark: SparkSession, product_map: Mapping[str, Sequence[str]] = K.PRODUCT_MAP
 ) -> DataFrame:
     """category -> [labels] turned into one row per label."""
-    rows = [(category, list(labels)) for category, labels in product_map.items()]
-    return spark.createDataFrame(
-        rows, "product_category string, labels array<string>"
-    ).select("product_category", F.explode("labels").alias("product"))
+    entries = [
+        x
+        for category, labels in product_map.items()
+        for x in (F.lit(category), F.array(*[F.lit(label) for label in labels]))
+    ]
+    by_category = spark.range(0, 1, 1, 1).select(
+        F.explode(F.create_map(*entries)).alias("product_category", "labels")
+    )
+    return by_category.select("product_category", F.explode("labels").alias("product"))
 
 
 def map_categories(

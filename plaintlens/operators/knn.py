@@ -28,7 +28,7 @@ from plaintlens import constants as K
 
 MAX_QUESTION_BYTES = 32 * 1024 * 1024
 QUESTIONS_PER_BLOCK = 2_048
-STORED_PER_BLOCK = 100_000
+STORED_PER_BLOCK = 50_000
 _CELLS = 4_000_000
 
 _SCHEMA = "question_id string, id string, distance double"

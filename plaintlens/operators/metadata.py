@@ -76,49 +76,57 @@ def metadata_keys(df: DataFrame, column: str = "metadata") -> DataFrame:
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.StructType):
-        pairs = F.array(
-            *[
-                F.struct(
-                    F.lit(f.name).alias("key"),
-                    F.col(f"{column}.{f.name}").isNotNull().alias("filled"),
-                    F.when(
-                        F.col(f"{column}.{f.name}").isNotNull(),
-                        F.lit(f.dataType.simpleString().upper()),
-                    ).alias("type"),
-                )
-                for f in kind.fields
-            ]
-        )
-    else:
-        entries = F.map_entries(
-            F.from_json(column, "map<string,variant>")
-            if isinstance(kind, T.StringType)
-            else F.col(column)
-        )
+        return _struct_keys(df, column, kind)
+    is_json = isinstance(kind, T.StringType)
+    entries = F.map_entries(
+        F.from_json(column, "map<string,variant>") if is_json else F.col(column)
+    )
 
-        def described(e):
-            if isinstance(kind, T.StringType):
-                found = F.nullif(F.schema_of_variant(e["value"]), F.lit("VOID"))
-            else:
-                found = F.when(e["value"].isNotNull(), F.typeof(e["value"]))
-            return F.struct(
-                e["key"].alias("key"), found.isNotNull().alias("filled"), found.alias("type")
-            )
+    def described(e):
+        if is_json:
+            found = F.nullif(F.schema_of_variant(e["value"]), F.lit("VOID"))
+        else:
+            found = F.when(e["value"].isNotNull(), F.typeof(e["value"]))
+        return F.struct(e["key"].alias("key"), found.alias("type"))
 
-        pairs = F.transform(entries, described)
     total = df.agg(F.count(F.lit(1))).scalar()
     return (
-        df.select(F.inline(pairs))
+        df.select(F.inline(F.transform(entries, described)))
         .groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("present_in"),
-            F.count_if("filled").alias("with_value"),
+            F.count("type").alias("with_value"),
             F.array_join(F.sort_array(F.collect_set("type")), ",").alias("value_types"),
         )
         .withColumn("coverage_pct", F.round(F.col("present_in") / total * 100, 1))
     )
 
 
+def _type_name(kind: T.DataType) -> str:
+    return kind.simpleString().upper()
+
+
+def _struct_keys(df: DataFrame, column: str, kind: T.StructType) -> DataFrame:
+    """The fields are known, so each is one counter of a single-row aggregate."""
+    counted = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(F.col(column)[f.name]).alias(f.name) for f in kind.fields],
+    )
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("key"),
+            F.col("_rows").alias("present_in"),
+            F.col(f.name).alias("with_value"),
+            F.when(F.col(f.name) > 0, F.lit(_type_name(f.dataType)))
+            .otherwise(F.lit(""))
+            .alias("value_types"),
+            F.when(F.col("_rows") > 0, F.lit(100.0)).alias("coverage_pct"),
+        )
+        for f in kind.fields
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def id_pattern_check(df: DataFrame) -> DataFrame:
     """Does every id read ``{complaint_id}_{chunk_index}``, and agree with the metadata?"""
     parsed = df.select(

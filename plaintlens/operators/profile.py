@@ -22,9 +22,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str, places: int = 1) -> DataFrame:
-    """:func:`value_counts` with each value's percentage of all non-null rows."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("count")
+    """:func:`value_counts` with each value's percentage of all non-null rows.
+
+    The counts are written once and serve both as rows and for the total, so the table itself
+    is scanned a single time and no window gathers all values in one task.
+    """
+    counts = cut_lineage(
+        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     )
     total = counts.agg(F.sum("count")).scalar()
     return counts.select(

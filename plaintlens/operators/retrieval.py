@@ -13,9 +13,12 @@ from plaintlens.functions.text import strip
 from plaintlens.functions.vector import cosine_from_distance, similarity_score
 from plaintlens.operators import knn
 from plaintlens.operators.embedding import hash_embed
+from plaintlens.session import broadcast_if_small, cut_lineage
 
 # Attaching metadata broadcasts the hits; past this many hits the join is left to AQE.
 MAX_BROADCAST_HITS = 200_000
+# Up to this many distinct hit ids are also handed to the store scan as a filter.
+MAX_PUSHED_IDS = 1_000
 
 
 def reject_reason(question: Column, filter_category: Column) -> Column:
@@ -99,18 +102,20 @@ def retrieve(
         embedded = hash_embed(valid, "question")
     else:
         embedded = embed(valid)
-    found = knn.nearest(embedded, store, k)
-    return attach_metadata(found, store, bounded=_is_bounded(valid, k))
+    found = cut_lineage(knn.nearest(embedded, store, k))
+    return attach_metadata(found, store)
 
 
-def _is_bounded(questions: DataFrame, k: int) -> bool:
-    limit = MAX_BROADCAST_HITS // max(k, 1)
-    return questions.limit(limit + 1).count() <= limit
+def attach_metadata(found: DataFrame, store: DataFrame) -> DataFrame:
+    """Join ranked ids (written or otherwise cheap to read twice) to their text and metadata.
 
-
-def attach_metadata(found: DataFrame, store: DataFrame, bounded: bool = False) -> DataFrame:
-    """Join ranked ids back to their stored text and metadata."""
-    side = F.broadcast(found) if bounded else found
+    Hits are few next to the store. Their counted number decides: a handful of ids is pushed
+    into the store's scan, up to a bound they are broadcast, beyond it AQE picks the join.
+    """
+    ids = [r["id"] for r in found.select("id").distinct().limit(MAX_PUSHED_IDS + 1).collect()]
+    if len(ids) <= MAX_PUSHED_IDS:
+        store = store.filter(F.col("id").isin(ids))
+    side = broadcast_if_small(found, MAX_BROADCAST_HITS)
     joined = store.drop("embedding").join(side, "id")
     return fill_hit_fields(joined).select(
         "question_id",

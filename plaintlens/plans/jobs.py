@@ -54,7 +54,10 @@ def build_sample_store(
     model_name: str = "hashing",
     input_path: str = "",
 ) -> DataFrame:
-    """Sample, chunk, embed, store; returns the one-row manifest (also written as JSON)."""
+    """Sample, chunk, embed, store; returns the one-row manifest (also written as JSON).
+
+    ``cleaned`` should be a stored table: sampling reads it twice, first ids and categories only.
+    """
     started = datetime.now(timezone.utc)
     sampled_path = f"{output_dir}/{collection}_sampled"
     sampling.stratified_sample(cleaned, sample_size, seed=seed).select(

@@ -619,8 +619,9 @@ def batch_answers(spark, d):
 
 def build_manifest(spark, d):
     base = scratch_path(spark, "sample")
+    cleaned_complaints(spark, d).write.parquet(f"{base}/cleaned")
     manifest = jobs.build_sample_store(
-        spark, cleaned_complaints(spark, d), base, sample_size=SAMPLE_ROWS
+        spark, spark.read.parquet(f"{base}/cleaned"), base, sample_size=SAMPLE_ROWS
     )
     listed = [
         F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"category_counts.`{c}`"), F.lit(0)).cast("string"))
