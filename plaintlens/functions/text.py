@@ -43,8 +43,8 @@ def strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """True for null or white-space-only text."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    """True for null or white-space-only text; stops at the first other character."""
+    return F.coalesce(~c.rlike(f"(?U){NOT_WS}"), F.lit(True))
 
 
 def word_count(c: Column) -> Column:
@@ -64,19 +64,24 @@ def has_opener(c: Column) -> Column:
     return contains_pattern(c, K.OPENER_SEARCH)
 
 
-def strip_openers(c: Column) -> Column:
-    """Remove stock opening phrases from lower-cased text, up to three stacked rounds.
+# How every opener pattern can begin. Other texts, nearly all of them, skip the pattern chain.
+_MAY_OPEN = (
+    r"(?U)^\s*(?:i\s*(?:'m|am)\s+writing|i\s+(?:would\s+like|am\s+filing)"
+    r"|this\s+letter\s+is|to\s+whom\s+it)"
+).replace(r"\s", WS)
 
-    Every pattern starts with optional white space and then ``i``, ``this`` or ``to``, so text
-    with any other beginning skips the regex chain.
-    """
-    text = strip(F.coalesce(c, F.lit("")))
-    stripped = text
+
+def _without_openers(text: Column) -> Column:
+    shortened = text
     for _ in range(K.OPENER_PASSES):
         for pattern in K.OPENER_PATTERNS:
-            stripped = F.regexp_replace(stripped, f"(?iU){pattern}", "")
-    may_open = F.substring(text, 1, 5).rlike(rf"^(?U)(?:i[\s\x1c-\x1f'a]|this|to{WS})")
-    return F.when(may_open, strip(stripped)).otherwise(text)
+            shortened = F.regexp_replace(shortened, "(?iU)" + pattern.replace(r"\s", WS), "")
+    return F.when(text.rlike(_MAY_OPEN), shortened).otherwise(text)
+
+
+def strip_openers(c: Column) -> Column:
+    """Remove stock opening phrases from lower-cased text, up to three stacked rounds."""
+    return strip(_without_openers(F.coalesce(c, F.lit(""))))
 
 
 def clean_noise(c: Column, phone_order: str = "short_first") -> Column:
@@ -88,11 +93,11 @@ def clean_noise(c: Column, phone_order: str = "short_first") -> Column:
     phones = [PHONE_SHORT, PHONE_LONG]
     if phone_order == "long_first":
         phones.reverse()
-    text = strip_openers(F.lower(c))
+    text = _without_openers(F.lower(c))
     for pattern in [URLS, *phones, ACCOUNT_IDS, REDACTIONS, TAGS, PUNCTUATION]:
         text = F.regexp_replace(text, pattern, "")
-    text = strip(F.regexp_replace(text, WS_RUNS, " "))
-    empty = is_blank(c) | (F.lower(c) == "nan")
+    text = F.trim(F.regexp_replace(text, WS_RUNS, " "))
+    empty = is_blank(c) | c.rlike(r"^(?i:nan)\z")
     return F.when(empty, F.lit("")).otherwise(text)
 
 
@@ -101,12 +106,13 @@ def tokenize(c: Column) -> Column:
     heads = "|".join(
         rf"{head}(?={tail}(?![^ ]))" for head, tail in (w.split("|") for w in K.SPLIT_WORDS)
     )
-    parted = F.regexp_replace(c, rf"(?<![^ ])({heads})", "$1 ")
-    return F.filter(F.split(parted, " "), lambda t: t != "")
+    parted = F.regexp_replace(c, rf"(?:^| )({heads})", " $1 ")
+    return F.split(F.trim(parted), " ")
 
 
 def drop_stop_words(tokens: Column, stop_words: Iterable[str] = K.STOP_WORDS) -> Column:
-    words = list(stop_words)
+    """Drop stop words, and the empty token that splitting an empty text leaves."""
+    words = ["", *stop_words]
     return F.filter(tokens, lambda t: ~t.isin(words))
 
 
@@ -120,14 +126,12 @@ def seed_lexicon() -> list[tuple[str, str, str]]:
     return rows
 
 
-def _lookup(lexicon: Mapping[str, str], buckets: int = 64) -> Column | None:
+def _lookup(lexicon: Mapping[str, str], buckets: int) -> Column:
     """Literal lookup table as an array of small maps, picked by the word's hash.
 
     A map lookup is a linear scan in Spark, so one large literal map would make every token pay
     for the whole lexicon.
     """
-    if not lexicon:
-        return None
     slots: list[dict[str, str]] = [{} for _ in range(buckets)]
     for surface, lemma in lexicon.items():
         slots[crc32(surface.encode()) % buckets][surface] = lemma
@@ -150,12 +154,13 @@ def lemmatize(tokens: Column, lexicon: Iterable[tuple[str, str, str]] | None = N
     lexicon kept as a table use :func:`plaintlens.operators.normalize.normalize_with_table`.
     """
     rows = list(seed_lexicon() if lexicon is None else lexicon)
-    buckets = 64
-    for pos in ("v", "n"):
-        table = _lookup({s: lemma for s, p, lemma in rows if p == pos}, buckets)
-        if table is not None:
-            tokens = F.transform(tokens, _replace_from(table, buckets))
-    return tokens
+    verbs = {surface: lemma for surface, pos, lemma in rows if pos == "v"}
+    nouns = {surface: lemma for surface, pos, lemma in rows if pos == "n"}
+    final = {w: nouns.get(verbs.get(w, w), verbs.get(w, w)) for w in {**verbs, **nouns}}
+    if not final:
+        return tokens
+    buckets = max(64, len(final) // 4)
+    return F.transform(tokens, _replace_from(_lookup(final, buckets), buckets))
 
 
 def normalize(c: Column, lexicon: Iterable[tuple[str, str, str]] | None = None) -> Column:

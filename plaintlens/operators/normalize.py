@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from plaintlens.functions import text as T
 from plaintlens.session import broadcast_if_small
 
+# A lexicon of up to this many entries travels inside the plan and needs no join.
+MAX_LITERAL_ENTRIES = 20_000
+
 
 def _verb_then_noun(lexicon: DataFrame) -> DataFrame:
     """surface -> final lemma, applying the verb entry first and the noun entry to its result."""
@@ -26,15 +29,30 @@ def _verb_then_noun(lexicon: DataFrame) -> DataFrame:
     )
 
 
+def _first_lemmas(entries) -> list[tuple[str, str, str]]:
+    """One lemma per surface and part of speech: the smallest, as in the join."""
+    best: dict[tuple[str, str], str] = {}
+    for surface, pos, lemma in entries:
+        best[surface, pos] = min(lemma, best.get((surface, pos), lemma))
+    return [(surface, pos, lemma) for (surface, pos), lemma in best.items()]
+
+
 def normalize_with_table(
     df: DataFrame, id_column: str, text_column: str, lexicon: DataFrame, out: str = "normalized"
 ) -> DataFrame:
-    """Normalise cleaned text with a lexicon of any size; ``id_column`` must be unique.
+    """Normalise cleaned text with a lexicon table of any size; ``id_column`` must be unique.
 
-    Each text's distinct tokens are looked up in one join and come back as a per-text map, so a
-    frequent word costs one row per text, not one per occurrence. The lexicon is broadcast only
-    when its counted size allows; otherwise AQE splits the partitions of frequent words.
+    A lexicon within :data:`MAX_LITERAL_ENTRIES` becomes a literal and the work stays narrow. For
+    a larger one each text's distinct tokens are looked up in one join and come back as a
+    per-text map, so a frequent word costs one row per text, not one per occurrence; the lexicon
+    is broadcast only when its counted size allows.
     """
+    columns = lexicon.select("surface", "pos", "lemma")
+    entries = columns.limit(MAX_LITERAL_ENTRIES + 1).collect()
+    if len(entries) <= MAX_LITERAL_ENTRIES:
+        return df.withColumn(
+            out, T.normalize(F.coalesce(F.col(text_column), F.lit("")), _first_lemmas(entries))
+        )
     lemmas = broadcast_if_small(_verb_then_noun(lexicon), 300_000)
     tokens = df.withColumn(
         "_tokens", T.drop_stop_words(T.tokenize(F.coalesce(F.col(text_column), F.lit(""))))

@@ -18,6 +18,8 @@ from plaintlens.sources import readers, writers
 
 # A manifest lists sampled ids itself up to this many; the sampled_ids table always has them all.
 MAX_IDS_IN_MANIFEST = 50_000
+# Likewise for categories; `metadata.category_counts` over the store lists any number of them.
+MAX_CATEGORIES_IN_MANIFEST = 1_000
 
 Embedder = Callable[[DataFrame], DataFrame]
 
@@ -95,7 +97,9 @@ def build_sample_store(
 
 
 def _as_map(counts: DataFrame, key: str):
-    """category -> count as a map column; one entry per category, of which there are four."""
+    """category -> count as a map; null when a dirty column has too many values to list."""
+    if counts.limit(MAX_CATEGORIES_IN_MANIFEST + 1).count() > MAX_CATEGORIES_IN_MANIFEST:
+        return F.lit(None).cast("map<string,bigint>")
     return counts.agg(F.map_from_entries(F.collect_list(F.struct(key, "count")))).scalar()
 
 

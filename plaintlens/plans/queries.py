@@ -688,12 +688,10 @@ def dataset_profile(spark, d):
 
 
 def question_source(spark, d):
-    """The question set through one JSON array and back."""
+    """The question set through JSON arrays and back."""
     path = scratch_path(spark, "questions")
     questions = benchmark_questions(spark, d).withColumnRenamed("question_id", "id")
-    questions.agg(F.to_json(F.collect_list(F.struct("id", "category", "question")))).write.text(
-        path
-    )
+    writers.write_questions(questions, path, per_file=100)
     return readers.read_questions(spark, path)
 
 

@@ -81,8 +81,13 @@ def dataset_profile(df: DataFrame) -> DataFrame:
 
 
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
-    """Question set kept as one JSON array."""
-    return spark.read.schema(S.QUESTIONS).option("multiLine", True).json(path)
+    """Question set kept as a JSON array, or as a folder of such files."""
+    return (
+        spark.read.schema(S.QUESTIONS)
+        .option("multiLine", True)
+        .json(path)
+        .select("id", "category", "question")
+    )
 
 
 def read_results_document(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,18 @@ def write_collection(
     return path
 
 
+def write_questions(questions: DataFrame, path: str, per_file: int = 1_000) -> None:
+    """Question set as JSON arrays, one file of about ``per_file`` questions each."""
+    files = max(1, math.ceil(questions.count() / per_file))
+    (
+        questions.groupBy(F.pmod(F.xxhash64("id"), F.lit(files)).alias("part"))
+        .agg(F.to_json(F.collect_list(F.struct("id", "category", "question"))).alias("value"))
+        .write.mode("overwrite")
+        .partitionBy("part")
+        .text(path)
+    )
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("overwrite").json(path)
 

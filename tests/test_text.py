@@ -1,8 +1,7 @@
 import pytest
-from pyspark.sql import functions as F
 
 from plaintlens.functions import text as T
-from plaintlens.operators.normalize import normalize_with_table
+from plaintlens.operators import normalize
 
 
 @pytest.mark.parametrize(
@@ -86,13 +85,18 @@ def test_word_count_splits_on_unicode_space(apply):
     assert apply(T.word_count, texts) == [4, 0, 1, None]
 
 
-def test_lexicon_table_agrees_with_literal_lexicon(spark):
-    rows = [(1, "charged cards twice"), (2, "nothing here"), (3, ""), (4, "charged charged")]
+@pytest.mark.parametrize("limit", [normalize.MAX_LITERAL_ENTRIES, 0])
+def test_lexicon_table_agrees_with_literal_lexicon(spark, monkeypatch, limit):
+    monkeypatch.setattr(normalize, "MAX_LITERAL_ENTRIES", limit)
+    rows = [(1, "charged cards twice"), (2, "nothing here"), (3, ""), (4, "charged charged"), (5, None)]
     df = spark.createDataFrame(rows, "id int, t string")
-    lexicon = spark.createDataFrame(T.seed_lexicon(), "surface string, pos string, lemma string")
-    by_table = normalize_with_table(df, "id", "t", lexicon)
-    want = df.select("id", T.normalize(F.col("t"))).collect()
-    assert sorted(by_table.select("id", "normalized").collect()) == sorted(want)
+    lexicon = spark.createDataFrame(
+        [*T.seed_lexicon(), ("charged", "v", "zzz")], "surface string, pos string, lemma string"
+    )
+    by_table = normalize.normalize_with_table(df, "id", "t", lexicon)
+    assert {r.id: r.normalized for r in by_table.collect()} == {
+        1: "charge card twice", 2: "nothing", 3: "", 4: "charge charge", 5: "",
+    }
 
 
 def test_verb_lemma_then_noun_lemma(spark, apply):
