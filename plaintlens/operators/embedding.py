@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA, CountVectorizerModel, Normalizer, StandardScaler
+from pyspark.ml.feature import PCA, HashingTF, Normalizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,28 +23,19 @@ def hash_embed(
     dim: int = K.EMBEDDING_DIM,
     out: str = "embedding",
 ) -> DataFrame:
-    """Feature hashing: word counts per md5 bucket, scaled to length one.
+    """Feature hashing: word counts per hash bucket, scaled to length one.
 
-    Stays in the JVM and needs no shuffle. The buckets are counted by a vectoriser whose
-    vocabulary is simply the bucket numbers.
+    Stays in the JVM and needs no shuffle.
     """
-    buckets = F.transform(
-        F.filter(F.split(F.lower(text_column), r"\s+"), lambda w: w != ""),
-        lambda w: (
-            F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % F.lit(dim)
-        ).cast("string"),
-    )
-    counter = CountVectorizerModel.from_vocabulary(
-        [str(b) for b in range(dim)], inputCol="_buckets", outputCol="_counts"
+    words = F.filter(
+        F.split(F.lower(F.coalesce(text_column, F.lit(""))), r"\s+"), lambda w: w != ""
     )
+    hashing = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim)
     scaler = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
-    counted = counter.transform(
-        df.withColumn("_buckets", F.coalesce(buckets, F.array().cast("array<string>")))
-    )
     return (
-        scaler.transform(counted)
+        scaler.transform(hashing.transform(df.withColumn("_words", words)))
         .withColumn(out, vector_to_array("_unit", "float32"))
-        .drop("_buckets", "_counts", "_unit")
+        .drop("_words", "_counts", "_unit")
     )
 
 

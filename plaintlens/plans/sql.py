@@ -188,17 +188,64 @@ flat AS (
   FROM prebuilt)"""
 
 
+def _mod32(e: str) -> str:
+    return f"CAST(({e}) % 4294967296 AS BIGINT)"
+
+
+def _times(e: str, factor: int) -> str:
+    return _mod32(f"CAST({e} AS HUGEINT) * {factor}")
+
+
+def _rotated(e: str, bits: int) -> str:
+    return f"(((({e}) << {bits}) & 4294967295) | (({e}) >> {32 - bits}))"
+
+
+def _murmur3(word: str, seed: int = 42) -> str:
+    """The public 32-bit murmur3 hash of a word's UTF-8 bytes, unsigned."""
+    h = f"hex({word})"
+    n = f"CAST(length({h}) // 2 AS BIGINT)"
+
+    def little_endian(start: str, count: str) -> str:
+        return (
+            f"CAST(list_sum(list_transform(range(0, {count}), lambda j: "
+            f"('0x' || substr({h}, CAST(({start} + j) * 2 + 1 AS BIGINT), 2))::BIGINT << (8 * j))) AS BIGINT)"
+        )
+
+    # blocks and tail as plain columns keep the expressions small
+    return f"""
+  SELECT w, CAST(list_reduce(list_prepend(CAST({seed} AS BIGINT),
+              list_transform(range(0, n // 4), lambda i: k[i + 1])),
+              lambda h, k: {_mod32("CAST(" + _rotated("xor(h, k)", 13) + " AS HUGEINT) * 5 + 3864292196")}) AS BIGINT) AS body,
+         tail, n
+  FROM (
+    SELECT w, n,
+           list_transform(raw, lambda r: {_times(_rotated(_times('r', 0xCC9E2D51), 15), 0x1B873593)}) AS k,
+           CASE WHEN n % 4 > 0 THEN {_times(_rotated(_times(little_endian("(n // 4) * 4", "n % 4"), 0xCC9E2D51), 15), 0x1B873593)}
+                ELSE 0 END AS tail
+    FROM (SELECT {word} AS w, {n} AS n,
+                 list_transform(range(0, {n} // 4), lambda i: {little_endian("i * 4", "4")}) AS raw
+          FROM source_words))"""
+
+
 def _hashed(source: str, key: str, text: str, name: str) -> str:
-    """Word counts per md5 bucket, scaled to length one and kept as 32-bit floats."""
+    """Word counts per murmur3 bucket, scaled to length one and kept as 32-bit floats."""
+    n = name
     return f"""
-{name}_counts AS (
-  SELECT {key} AS k, ('0x' || substr(md5(word), 1, 8))::BIGINT % {K.EMBEDDING_DIM} AS b,
-         count(*) AS n
-  FROM (SELECT {key}, unnest(regexp_split_to_array(lower({text}), '\\s+')) AS word FROM {source})
-  WHERE word <> '' GROUP BY 1, 2),
-{name} AS MATERIALIZED (
+{n}_tokens AS MATERIALIZED (
+  SELECT * FROM (SELECT {key} AS k, unnest(regexp_split_to_array(lower({text}), '\\s+')) AS w
+                 FROM {source}) WHERE w <> ''),
+{n}_body AS ({_murmur3('w').replace('source_words', f'(SELECT DISTINCT w FROM {n}_tokens)')}),
+{n}_x1 AS (SELECT w, xor(xor(body, tail), n) AS h FROM {n}_body),
+{n}_x2 AS (SELECT w, {_times('xor(h, h >> 16)', 0x85EBCA6B)} AS h FROM {n}_x1),
+{n}_x3 AS (SELECT w, {_times('xor(h, h >> 13)', 0xC2B2AE35)} AS h FROM {n}_x2),
+{n}_x4 AS (SELECT w, xor(h, h >> 16) AS h FROM {n}_x3),
+{n}_buckets AS MATERIALIZED (
+  SELECT w, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {K.EMBEDDING_DIM}
+             + {K.EMBEDDING_DIM}) % {K.EMBEDDING_DIM} AS b FROM {n}_x4),
+{n}_counts AS (SELECT k, b, count(*) AS n FROM {n}_tokens JOIN {n}_buckets USING (w) GROUP BY 1, 2),
+{n} AS MATERIALIZED (
   SELECT k, b, CAST(n / sqrt(sum(n * n) OVER (PARTITION BY k)) AS FLOAT)::DOUBLE AS w
-  FROM {name}_counts)"""
+  FROM {n}_counts)"""
 
 
 _QUESTIONS = f"""questions AS (
@@ -220,7 +267,8 @@ near AS (SELECT qn.k AS question_id, sn.k AS id,
                 round(qn.n + sn.n - 2 * coalesce(dot, 0), 9) AS distance
          FROM qn CROSS JOIN sn LEFT JOIN dots ON qk = qn.k AND sk = sn.k),
 hits AS (SELECT question_id, rank, id, complaint_id, product_category, chunk_text,
-                round(1 - distance, 4) AS similarity_score
+                CASE WHEN round(1 - distance, 4) = 0 THEN 0.0::DOUBLE
+                     ELSE round(1 - distance, 4) END AS similarity_score
          FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, id) AS rank
                FROM near) JOIN chunked USING (id)
          WHERE rank <= 3)"""
