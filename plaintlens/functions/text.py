@@ -102,17 +102,12 @@ def clean_noise(c: Column, phone_order: str = "short_first") -> Column:
 
 
 def tokenize(c: Column) -> Column:
-    """Words of cleaned text; the handful of fused pairs ("cannot") come apart."""
-    heads = "|".join(
-        rf"{head}(?={tail}(?![^ ]))" for head, tail in (w.split("|") for w in K.SPLIT_WORDS)
-    )
-    parted = F.regexp_replace(c, rf"(?:^| )({heads})", " $1 ")
-    return F.split(F.trim(parted), " ")
+    """Words of cleaned text. Fused pairs ("cannot") come apart in :func:`normalize`."""
+    return F.filter(F.split(c, " "), lambda t: t != "")
 
 
 def drop_stop_words(tokens: Column, stop_words: Iterable[str] = K.STOP_WORDS) -> Column:
-    """Drop stop words, and the empty token that splitting an empty text leaves."""
-    words = ["", *stop_words]
+    words = list(stop_words)
     return F.filter(tokens, lambda t: ~t.isin(words))
 
 
@@ -147,25 +142,49 @@ def _replace_from(table: Column, buckets: int):
     return replaced
 
 
+def _final_lemmas(lexicon: Iterable[tuple[str, str, str]] | None) -> dict[str, str]:
+    """surface -> lemma after the verb entry and then the noun entry of the result."""
+    rows = list(seed_lexicon() if lexicon is None else lexicon)
+    verbs = {surface: lemma for surface, pos, lemma in rows if pos == "v"}
+    nouns = {surface: lemma for surface, pos, lemma in rows if pos == "n"}
+    return {w: nouns.get(verbs.get(w, w), verbs.get(w, w)) for w in {**verbs, **nouns}}
+
+
+def _replace_all(tokens: Column, words: Mapping[str, str]) -> Column:
+    buckets = max(64, len(words) // 4)
+    return F.transform(tokens, _replace_from(_lookup(words, buckets), buckets))
+
+
 def lemmatize(tokens: Column, lexicon: Iterable[tuple[str, str, str]] | None = None) -> Column:
     """Replace each token by its verb lemma, then by its noun lemma, where the lexicon has one.
 
     ``lexicon`` is a bounded list of (surface, pos, lemma) held as a literal in the plan. For a
     lexicon kept as a table use :func:`plaintlens.operators.normalize.normalize_with_table`.
     """
-    rows = list(seed_lexicon() if lexicon is None else lexicon)
-    verbs = {surface: lemma for surface, pos, lemma in rows if pos == "v"}
-    nouns = {surface: lemma for surface, pos, lemma in rows if pos == "n"}
-    final = {w: nouns.get(verbs.get(w, w), verbs.get(w, w)) for w in {**verbs, **nouns}}
-    if not final:
-        return tokens
-    buckets = max(64, len(final) // 4)
-    return F.transform(tokens, _replace_from(_lookup(final, buckets), buckets))
+    return _replace_all(tokens, _final_lemmas(lexicon))
+
+
+def fused_words(lemmas: Mapping[str, str]) -> tuple[dict[str, str], list[str]]:
+    """Fused pairs as what normalisation leaves of them, and those it removes whole."""
+    left, gone = {}, []
+    for pair in K.SPLIT_WORDS:
+        parts = [lemmas.get(p, p) for p in pair.split("|") if p not in K.STOP_WORDS]
+        if parts:
+            left[pair.replace("|", "")] = " ".join(parts)
+        else:
+            gone.append(pair.replace("|", ""))
+    return left, gone
 
 
 def normalize(c: Column, lexicon: Iterable[tuple[str, str, str]] | None = None) -> Column:
-    """Tokenize, drop stop words, lemmatize, join with single spaces."""
-    return F.array_join(lemmatize(drop_stop_words(tokenize(c)), lexicon), " ")
+    """Tokenize, drop stop words, lemmatize, join with single spaces.
+
+    Two passes over the tokens: one drops empty tokens and stop words, one replaces words.
+    """
+    lemmas = _final_lemmas(lexicon)
+    fused, gone = fused_words(lemmas)
+    kept = drop_stop_words(F.split(c, " "), ["", *K.STOP_WORDS, *gone])
+    return F.array_join(_replace_all(kept, {**lemmas, **fused}), " ")
 
 
 def clean_text(c: Column, lexicon: Iterable[tuple[str, str, str]] | None = None) -> Column:

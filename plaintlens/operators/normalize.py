@@ -54,9 +54,9 @@ def normalize_with_table(
             out, T.normalize(F.coalesce(F.col(text_column), F.lit("")), _first_lemmas(entries))
         )
     lemmas = broadcast_if_small(_verb_then_noun(lexicon), 300_000)
-    tokens = df.withColumn(
-        "_tokens", T.drop_stop_words(T.tokenize(F.coalesce(F.col(text_column), F.lit(""))))
-    )
+    # without a lexicon, normalising leaves the fused pairs parted and the stop words out
+    words = T.normalize(F.coalesce(F.col(text_column), F.lit("")), [])
+    tokens = df.withColumn("_tokens", F.split(words, " "))
     maps = (
         tokens.select(id_column, F.explode(F.array_distinct("_tokens")).alias("token"))
         .join(lemmas, "token")
