@@ -13,7 +13,8 @@ from plaintlens.functions.vector import prefix
 from plaintlens.operators.profile import rank_percentiles
 
 LENGTH_POINTS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
-ID_PATTERN = r"^(?s)(.*)_([^_]*)$"
+# the chunk index of a well-formed id: only digits after the last underscore
+INDEX_IN_ID = r"(?s)^.*_(\p{Nd}+)$"
 
 
 def flatten_metadata(df: DataFrame) -> DataFrame:
@@ -131,7 +132,7 @@ def id_pattern_check(df: DataFrame) -> DataFrame:
     """Does every id read ``{complaint_id}_{chunk_index}``, and agree with the metadata?"""
     parsed = df.select(
         "id",
-        F.regexp_extract("id", r"^(?s).*_(\p{Nd}+)$", 1).alias("digits"),
+        F.regexp_extract("id", INDEX_IN_ID, 1).alias("digits"),
         F.col("metadata.chunk_index").alias("stated"),
     )
     fits = F.col("digits") != ""
@@ -147,7 +148,7 @@ def id_pattern_check(df: DataFrame) -> DataFrame:
 
 def id_mismatches(df: DataFrame, n: int = 5) -> DataFrame:
     """The first few ids whose index differs from the metadata."""
-    digits = F.regexp_extract("id", r"^(?s).*_(\p{Nd}+)$", 1)
+    digits = F.regexp_extract("id", INDEX_IN_ID, 1)
     return (
         df.select(
             "id",

@@ -4,7 +4,6 @@ import tempfile
 
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
 from test_metadata import row
 
 from plaintlens import constants as K
