@@ -29,6 +29,8 @@ from plaintlens import constants as K
 MAX_QUESTION_BYTES = 32 * 1024 * 1024
 QUESTIONS_PER_BLOCK = 2_048
 STORED_PER_BLOCK = 50_000
+# Tasks hand on questions * k rows each; past this sum, splits are merged into fewer tasks.
+MAX_PARTIAL_ROWS = 100_000_000
 _CELLS = 4_000_000
 
 _SCHEMA = "question_id string, id string, distance double"
@@ -109,7 +111,10 @@ def _with_few_questions(rows, store: DataFrame, k: int, dim: int) -> DataFrame:
             )
         yield best.rows()
 
-    return store.mapInArrow(scan, _SCHEMA)
+    # coalesce merges splits without a shuffle and leaves fewer splits as they are
+    cores = store.sparkSession.sparkContext.defaultParallelism
+    tasks = max(MAX_PARTIAL_ROWS // max(1, len(ids) * k), cores)
+    return store.coalesce(tasks).mapInArrow(scan, _SCHEMA)
 
 
 def _with_many_questions(

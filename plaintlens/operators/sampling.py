@@ -31,8 +31,11 @@ def stratified_sample(
 
     Ranking a group needs its draw order, and one group may hold a third of all rows. So a first
     pass counts rows per (group, leading key digits) with map-side aggregation only, which tells
-    the slot where each group's quota runs out. The second pass keeps the slots below it and
-    ranks within single slots, each about 1/65,536 of its group.
+    the slot where each group's quota runs out. A second pass ranks inside those slots, each
+    about 1/65,536 of its group, and finds the last row to take. Both passes read ids and
+    categories only. Taking the sample is then a filter behind a join with one row per group:
+    no shuffle, however large the sample. Repeated ids across a quota's end are told apart by
+    ranking instead.
     """
     key = draw_order(id_column, seed)
     slot = F.substring(key, 1, 4)
@@ -45,28 +48,29 @@ def stratified_sample(
     if n >= total:
         return df
 
-    upto = W.partitionBy("_g").orderBy("_slot")
-    quota = F.greatest(
-        F.bround(F.sum("_n").over(W.partitionBy("_g")) * F.lit(n / total)).cast("bigint"),
-        F.lit(min_per_group),
+    edges = broadcast_if_small(cut_lineage(_quota_edges(counts, n / total, min_per_group)))
+    draws = df.select(
+        F.col(category).alias("_g"), F.col(id_column).alias("_id"), key.alias("_key")
+    ).withColumn("_slot", F.substring("_key", 1, 4))
+    order = W.partitionBy("_g").orderBy("_key", "_id")
+    last = cut_lineage(
+        draws.join(edges, "_g")
+        .filter(F.col("_slot") == F.col("_edge"))
+        .withColumn("_rank", F.row_number().over(order))
+        .withColumn("_repeated", F.coalesce(F.lead("_id").over(order) == F.col("_id"), F.lit(False)))
+        .filter(F.col("_rank") == F.col("_left"))
+        .select("_g", F.struct("_key", "_id").alias("_last"), "_repeated")
     )
-    edges = (
-        counts.filter(F.col("_g").isNotNull())
-        .select("_g", "_slot", "_n", F.sum("_n").over(upto).alias("_upto"), quota.alias("_quota"))
-        # every slot that still has quota left when it starts
-        .filter(F.col("_upto") - F.col("_n") < F.col("_quota"))
-        .groupBy("_g")
-        .agg(
-            F.max("_slot").alias("_edge"),
-            F.max(F.struct("_slot", F.col("_quota") - (F.col("_upto") - F.col("_n"))))["col2"]
-            .alias("_left"),
+    keyed = df.withColumn("_key", key)
+    if last.filter("_repeated").isEmpty():
+        return (
+            keyed.join(broadcast_if_small(last), F.col(category) == F.col("_g"))
+            .filter(F.struct(F.col("_key"), F.col(id_column).alias("_id")) <= F.col("_last"))
+            .select(*df.columns)
         )
-    )
-    edges = broadcast_if_small(cut_lineage(edges))
     in_slot = W.partitionBy(category, "_slot").orderBy("_key", id_column)
     return (
-        df.withColumn("_key", key)
-        .withColumn("_slot", F.substring("_key", 1, 4))
+        keyed.withColumn("_slot", F.substring("_key", 1, 4))
         .join(edges, F.col(category) == F.col("_g"))
         .filter(F.col("_slot") <= F.col("_edge"))
         .withColumn("_rank", F.row_number().over(in_slot))
@@ -75,6 +79,24 @@ def stratified_sample(
     )
 
 
+def _quota_edges(counts: DataFrame, fraction: float, min_per_group: int) -> DataFrame:
+    """Per group with a quota: the slot in which it runs out and the rows to take from it."""
+    quota = F.greatest(
+        F.bround(F.sum("_n").over(W.partitionBy("_g")) * F.lit(fraction)).cast("bigint"),
+        F.lit(min_per_group),
+    )
+    before = F.sum("_n").over(W.partitionBy("_g").orderBy("_slot")) - F.col("_n")
+    return (
+        counts.filter(F.col("_g").isNotNull())
+        .select("_g", "_slot", "_n", before.alias("_before"), quota.alias("_quota"))
+        # every slot that still has quota left when it starts; the last one is the edge
+        .filter(F.col("_before") < F.col("_quota"))
+        .groupBy("_g")
+        .agg(F.max(F.struct("_slot", F.least(F.col("_quota") - F.col("_before"), "_n"))).alias("e"))
+        .select("_g", F.col("e._slot").alias("_edge"), F.col("e.col2").alias("_left"))
+    )
+
+
 def cap_per_category(
     df: DataFrame,
     cap: int = K.CATEGORY_CAP,

@@ -58,7 +58,8 @@ def build_sample_store(
 ) -> DataFrame:
     """Sample, chunk, embed, store; returns the one-row manifest (also written as JSON).
 
-    ``cleaned`` should be a stored table: sampling reads it twice, first ids and categories only.
+    ``cleaned`` should be a stored table: sampling first reads its ids and categories, then the
+    sampled rows.
     """
     started = datetime.now(timezone.utc)
     sampled_path = f"{output_dir}/{collection}_sampled"

@@ -71,6 +71,13 @@ def test_category_filter(data, max_bytes):
     assert got == want
 
 
+def test_merged_splits_give_the_same(data, monkeypatch):
+    questions, store, q, s = data
+    monkeypatch.setattr(knn, "MAX_PARTIAL_ROWS", 1)
+    many = s.repartition(40)
+    assert found(knn.nearest(q, many, K)) == brute(questions, store, K)
+
+
 def test_empty_filter_means_all(data):
     questions, store, q, s = data
     q = q.withColumn("filter_category", F.when(F.col("question_id") == "q1", "").otherwise("c1"))

@@ -66,6 +66,21 @@ def test_halves_round_to_even_and_minimum_applies(spark):
     assert counts == {"a": 2, "b": 1, "c": 17}
 
 
+def test_minimum_above_a_group_takes_all_of_it(table):
+    out = sampling.stratified_sample(table, 120, min_per_group=300)
+    counts = dict(out.groupBy("product_category").count().collect())
+    assert counts == {"Credit Card": 300, "Personal Loan": 100}
+
+
+def test_repeated_ids_keep_sizes_exact(spark):
+    df = spark.range(600).select(
+        F.when(F.col("id") < 400, 7).otherwise(F.col("id")).alias("complaint_id"),
+        F.lit("a").alias("product_category"),
+    )
+    for n in (50, 300, 500):
+        assert sampling.stratified_sample(df, n).count() == n
+
+
 def test_cap(table):
     out = sampling.cap_per_category(table, 30, id_column="complaint_id")
     counts = dict(out.groupBy("product_category").count().collect())
