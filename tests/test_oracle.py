@@ -12,6 +12,9 @@ spec = importlib.util.spec_from_file_location("spark_entry", PATH)
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
+from plaintlens.plans.queries import QUERIES  # noqa: E402
+from plaintlens.plans.sql import ORACLE_SQL  # noqa: E402
+
 SF_DIR = os.environ.get("TEST_SF_DIR", SMALL)
 
 
@@ -20,13 +23,13 @@ def con():
     return oracle.duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, con, name):
     assert oracle.difference(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
 
 
 def test_queries_without_sql_are_known(spark):
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"pca_projection"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"pca_projection"}
     assert entry.queries()["pca_projection"](spark, SF_DIR).count() == spark.read.parquet(
         f"{SF_DIR}/embeddings.parquet"
     ).count()
