@@ -37,9 +37,9 @@ class Bands:
     entry that a text reaches holds. Chunks have limits of their own, and a text fails when more
     than ``chunk_share`` of its whole chunks lie outside them."""
 
-    whole: tuple = ((200, 0.08, 1.00), (1_000, 0.08, 0.85), (10_000, 0.06, 0.75), (100_000, 0.05, 0.70))
+    whole: tuple = ((200, 0.08, 1.00), (1_000, 0.08, 0.85), (10_000, 0.06, 0.68), (100_000, 0.05, 0.62))
     chunk_bytes: int = 4_096
-    chunk: tuple = (0.08, 0.80)
+    chunk: tuple = (0.08, 0.72)
     chunk_share: float = 0.25
     level: int = 3
 
