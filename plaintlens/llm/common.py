@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaintlens.session import scratch_path
+
 #: Bytes of text that a Python task handles at once; longer texts are handled alone.
 SLICE_BYTES = 8 << 20
 
@@ -54,3 +56,11 @@ def map_texts(
                 yield pa.RecordBatch.from_pydict({name: columns[name] for name in fields})
 
     return docs.mapInArrow(run, schema)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the folder that all executors share: cuts the lineage, so a
+    lost executor repeats its own tasks only, and columns are read back as needed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,8 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import texts
-from plaintlens.session import cut_lineage
+from plaintlens.llm.common import texts, written
 
 #: A chunk has 512 characters at least, ends after a sentence end or one of these word ends, and
 #: has 8,192 characters at most.
@@ -34,7 +33,7 @@ def collided_chunks(chunks: DataFrame) -> DataFrame:
     """(hash, chunk, rank) of the chunks whose hash stands for more than one chunk."""
     distinct = chunks.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("uses"))
     shared = distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    bad = cut_lineage(shared.select("hash"))
+    bad = written(shared.select("hash"), "chunk-hashes")
     if bad.isEmpty():
         return None
     # the rank of a chunk is the number of smaller chunks of its hash
@@ -104,7 +103,7 @@ def exact_dedup(docs: DataFrame, chunk_hash: Callable[[Column], Column] = F.xxha
     Counts and kept rows come from a map-side aggregation over recipes. The join back puts one row
     per recipe against its documents, so a group holding a third of all rows can be split.
     """
-    listed = cut_lineage(recipes(docs, chunk_hash))
+    listed = written(recipes(docs, chunk_hash), "recipes")
     groups = listed.groupBy("recipe").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")
     )
