@@ -107,7 +107,8 @@ def exact_dedup(docs: DataFrame, chunk_hash: Callable[[Column], Column] = F.xxha
     groups = listed.groupBy("recipe").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")
     )
-    return listed.join(groups, "recipe").select(
+    # written, so the join deals out both sides anew and can split the documents of a hot recipe
+    return listed.join(written(groups, "recipe-groups"), "recipe").select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
         "group_size",
