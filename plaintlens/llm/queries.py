@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plaintlens.llm.bpe_codec import round_trip
 from plaintlens.llm.common import read
 from plaintlens.llm.exact_dedup import exact_dedup
 from plaintlens.llm.quality_rules import quality_rules
+from plaintlens.llm.token_counts import token_counts
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return round_trip(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_counts": op7_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
