@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 import regex
 
 #: Up to this code point the `regex` module and the tokenizers library class letters, numbers and
@@ -47,3 +49,19 @@ class Cache(dict):
             self.clear()
             new = wanted
         return list(new)
+
+
+def spread(parts: pa.ListArray, values_of: Callable[[list[str]], list[bytes]]):
+    """Look up every text's parts by their different values: (numbers of all texts one behind the
+    other, end of each text in them). ``values_of`` gives 4-byte numbers for different parts."""
+    coded = parts.flatten().dictionary_encode()
+    blobs = values_of(coded.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    flat = np.frombuffer(b"".join(blobs), "<u4")
+    at = coded.indices.to_numpy()
+    n = sizes[at]
+    ends = np.cumsum(n)
+    source = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - n), n)
+    source += np.arange(len(source))
+    offsets = parts.offsets.to_numpy()
+    return flat[source], np.append(0, ends)[offsets[1:] - offsets[0]]

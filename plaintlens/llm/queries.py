@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plaintlens.llm.bpe_codec import round_trip
 from plaintlens.llm.common import read
 from plaintlens.llm.exact_dedup import exact_dedup
+from plaintlens.llm.packing import pack_digests
 from plaintlens.llm.quality_rules import quality_rules
 from plaintlens.llm.token_counts import token_counts
 
@@ -29,6 +30,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_digests(read(spark, sf_dir, "documents"), path)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
@@ -37,5 +45,6 @@ QUERIES = {
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_packing": op8_packing,
     "op10_quality_rules": op10_quality_rules,
 }
