@@ -9,9 +9,14 @@ from plaintlens.llm.common import read
 from plaintlens.llm.exact_dedup import exact_dedup
 from plaintlens.llm.packing import pack_digests
 from plaintlens.llm.quality_rules import quality_rules
+from plaintlens.llm.simhash import simhash_components
 from plaintlens.llm.token_counts import token_counts
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read(spark, sf_dir, "documents"))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
