@@ -10,9 +10,14 @@ from plaintlens.llm.exact_dedup import exact_dedup
 from plaintlens.llm.packing import pack_digests
 from plaintlens.llm.quality_rules import quality_rules
 from plaintlens.llm.simhash import simhash_components
+from plaintlens.llm.suffix_dedup import suffix_dedup
 from plaintlens.llm.token_counts import token_counts
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
