@@ -226,7 +226,7 @@ def find_anchors(keyed: DataFrame, parts: int, sample_share: float, sizes: Sizes
                 size += len(segment[2])
                 if size >= sizes.slice:
                     records, sample = scanned(group)
-                    yield found_rows(np.zeros(len(sample)), SAMPLED, np.zeros(len(sample)), sample)
+                    yield found_rows(np.arange(len(sample)) % parts, SAMPLED, np.zeros(len(sample)), sample)
                     held.append(records)
                     n_held += len(records["at"])
                     group, size = [], 0
@@ -235,7 +235,7 @@ def find_anchors(keyed: DataFrame, parts: int, sample_share: float, sizes: Sizes
                         held, n_held = [], 0
         if group:
             records, sample = scanned(group)
-            yield found_rows(np.zeros(len(sample)), SAMPLED, np.zeros(len(sample)), sample)
+            yield found_rows(np.arange(len(sample)) % parts, SAMPLED, np.zeros(len(sample)), sample)
             held.append(records)
         if held and sum(len(h["at"]) for h in held):
             yield from settled(merged())
