@@ -25,13 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import byte_slices, texts
-from plaintlens.llm.pretokens import Cache, spread
+from plaintlens.llm.pretokens import Cache, Numbers, joined, spread
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Windows of a group, room left in each for imbalance, and the longest piece of a remainder.
@@ -47,13 +46,14 @@ Piece = tuple[int, int, bytes, int]  # doc_id, start, ids, doc_tokens
 class WordEncoder:
     """Texts -> ids (little-endian unsigned 32 bits) as the tokenizers library gives them.
 
-    Nothing that this kind of vocabulary joins reaches across white space (special strings hold
-    none), so each different word is encoded once and looked up from then on. Words in plain Latin
-    letters share the ids of their lower-case pieces; all others go to the library as they are.
+    This kind of vocabulary encodes lower-case letter runs, digits and symbol runs one by one, so
+    texts are cut into words, different words into such parts, and the library encodes each
+    different part once. Texts with characters beyond plain Latin ones, or with special strings,
+    go to the library as they are.
     """
 
-    #: Below this code point composed forms are stable and the regex libraries agree.
-    PLAIN = regex.compile(r"[^\x00-\u024F]|<\|")
+    #: Elsewhere composed forms are stable and the regex libraries agree.
+    OTHER = r"[^\x{00}-\x{24F}\x{2010}-\x{2027}]|[\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{130}]|<\|"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -63,11 +63,11 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
-        cut = spec["pre_tokenizer"]["pretokenizers"][0]
-        if steps != ["NFC", "Replace", "Lowercase"] or not cut["invert"]:
+        parting = spec["pre_tokenizer"]["pretokenizers"][0]
+        if steps != ["NFC", "Replace", "Lowercase"] or not parting["invert"]:
             raise ValueError("only lower-case word vocabularies are supported")
-        self.pieces_of = regex.compile(cut["pattern"]["Regex"]).findall
-        self.words, self.pieces = Cache(600_000), Cache(600_000)
+        self.part = f"({parting['pattern']['Regex']})"
+        self.parts = Cache(1_000_000)
 
     def _library(self, wanted: list[str]) -> list[bytes]:
         out = []
@@ -78,27 +78,26 @@ class WordEncoder:
             out += [array("I", e.ids).tobytes() for e in done]
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        whole, cut = [], []
-        for word in new:
-            if self.PLAIN.search(word):
-                whole.append(word)
-            else:
-                cut.append((word, self.pieces_of(word.lower())))
-        self.words.update(zip(whole, self._library(whole)))
-        unknown = self.pieces.missing(p for _, pieces in cut for p in pieces)
-        self.pieces.update(zip(unknown, self._library(unknown)))
-        found = self.pieces.__getitem__
-        self.words.update((word, b"".join(map(found, pieces))) for word, pieces in cut)
-
-    def _values(self, words: list[str]) -> list[bytes]:
-        self._learn(self.words.missing(words))
-        return list(map(self.words.__getitem__, words))
+    def _of_parts(self, parts: pa.Array) -> Numbers:
+        listed = parts.to_pylist()
+        new = self.parts.missing(listed)
+        self.parts.update(zip(new, self._library(new)))
+        return joined(list(map(self.parts.__getitem__, listed)))
+
+    def _of_words(self, words: pa.Array) -> Numbers:
+        marked = pc.replace_substring_regex(words, self.part, r"\1 ")
+        return spread(pc.ascii_split_whitespace(marked), self._of_parts)
 
     def __call__(self, column: pa.Array) -> list[bytes]:
-        ids, ends = spread(pc.ascii_split_whitespace(column), self._values)
-        starts = np.append(0, ends[:-1])
-        return [ids[a:b].tobytes() for a, b in zip(starts, ends)]
+        other = pc.match_substring_regex(column, self.OTHER)
+        plain = pc.utf8_lower(pc.if_else(other, "", column))
+        ids, ends = spread(pc.ascii_split_whitespace(plain), self._of_words)
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        out = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        whole = np.flatnonzero(other.to_numpy(zero_copy_only=False))
+        for i, encoded in zip(whole, self._library([column[int(i)].as_py() for i in whole])):
+            out[i] = encoded
+        return out
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -230,7 +229,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> D
             )
 
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", 16 << 20):
                 encoded = encode(part.column("text"))
                 ids_of = zip(part.column("doc_id").to_pylist(), encoded)
                 yield rows(s for doc_id, ids in ids_of for s in packer.add(doc_id, ids + end))

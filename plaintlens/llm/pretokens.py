@@ -51,17 +51,27 @@ class Cache(dict):
         return list(new)
 
 
-def spread(parts: pa.ListArray, values_of: Callable[[list[str]], list[bytes]]):
-    """Look up every text's parts by their different values: (numbers of all texts one behind the
-    other, end of each text in them). ``values_of`` gives 4-byte numbers for different parts."""
+Numbers = tuple[np.ndarray, np.ndarray]
+
+
+def spread(parts: pa.ListArray, numbers_of: Callable[[pa.Array], Numbers]) -> Numbers:
+    """Numbers of texts from those of their different parts.
+
+    Both are given as all numbers one behind the other, and the end of each text's or part's own.
+    """
     coded = parts.flatten().dictionary_encode()
-    blobs = values_of(coded.dictionary.to_pylist())
-    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-    flat = np.frombuffer(b"".join(blobs), "<u4")
+    flat, stops = numbers_of(coded.dictionary)
+    starts = np.append(0, stops[:-1])
     at = coded.indices.to_numpy()
-    n = sizes[at]
+    n = (stops - starts)[at]
     ends = np.cumsum(n)
-    source = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - n), n)
+    source = np.repeat(starts[at] - (ends - n), n)
     source += np.arange(len(source))
     offsets = parts.offsets.to_numpy()
     return flat[source], np.append(0, ends)[offsets[1:] - offsets[0]]
+
+
+def joined(blobs: list[bytes]) -> Numbers:
+    """Byte strings of 4-byte numbers as ``spread`` takes them."""
+    stops = np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4)
+    return np.frombuffer(b"".join(blobs), "<u4"), stops
