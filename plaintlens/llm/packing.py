@@ -43,13 +43,53 @@ _WORKER: dict = {}
 Piece = tuple[int, int, bytes, int]  # doc_id, start, ids, doc_tokens
 
 
+#: What vocabularies of this kind encode one by one (a fixed value).
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+_KIND = np.full(256, _SIGN, np.uint8)
+_KIND[list(b" \t\n\v\f\r")] = _SPACE
+_KIND[[*b"abcdefghijklmnopqrstuvwxyz", *range(128, 256)]] = _LETTER
+_KIND[list(b"0123456789")] = _DIGIT
+
+
+def plain_parts(column: pa.Array) -> pa.ListArray:
+    """The parts of lower-case texts in plain Latin letters, found by kinds of bytes.
+
+    Words with an apostrophe, a sign beyond ASCII or the like stay whole.
+    """
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    size = int(offsets[-1] - offsets[0])
+    if not size:
+        return pa.array([[]] * len(column), pa.list_(pa.string()))
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    kind = _KIND[data]
+    before = np.append(np.uint8(_SPACE), kind[:-1])
+    before[offsets[:-1][offsets[:-1] < size]] = _SPACE
+    solid = kind != _SPACE
+    first = solid & (before == _SPACE)
+    new = solid & ((kind != before) | (kind == _DIGIT))
+    odd = (data == 0x27) | (data == 0xC2) | (data == 0xE2)
+    odd[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    odd = np.flatnonzero(odd)
+    if len(odd):
+        word = np.cumsum(first, dtype=np.int32)
+        whole = np.zeros(word[-1] + 1, bool)
+        whole[word[odd]] = True
+        new &= first | ~whole[word]
+    count = np.append(0, np.cumsum(new, dtype=np.int32))[offsets].astype(np.int32)
+    text = np.ascontiguousarray(data[solid])
+    starts = np.append(np.flatnonzero(new[solid]), len(text)).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(text))
+    return pa.ListArray.from_arrays(pa.array(count), parts)
+
+
 class WordEncoder:
     """Texts -> ids (little-endian unsigned 32 bits) as the tokenizers library gives them.
 
     This kind of vocabulary encodes lower-case letter runs, digits and symbol runs one by one, so
-    texts are cut into words, different words into such parts, and the library encodes each
-    different part once. Texts with characters beyond plain Latin ones, or with special strings,
-    go to the library as they are.
+    the library encodes each different part once. Texts with characters beyond plain Latin ones,
+    or with special strings, go to the library as they are.
     """
 
     #: Elsewhere composed forms are stable and the regex libraries agree.
@@ -64,9 +104,8 @@ class WordEncoder:
             spec = json.load(f)
         steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
         parting = spec["pre_tokenizer"]["pretokenizers"][0]
-        if steps != ["NFC", "Replace", "Lowercase"] or not parting["invert"]:
+        if steps != ["NFC", "Replace", "Lowercase"] or parting["pattern"]["Regex"] != PARTS:
             raise ValueError("only lower-case word vocabularies are supported")
-        self.part = f"({parting['pattern']['Regex']})"
         self.parts = Cache(1_000_000)
 
     def _library(self, wanted: list[str]) -> list[bytes]:
@@ -84,14 +123,10 @@ class WordEncoder:
         self.parts.update(zip(new, self._library(new)))
         return joined(list(map(self.parts.__getitem__, listed)))
 
-    def _of_words(self, words: pa.Array) -> Numbers:
-        marked = pc.replace_substring_regex(words, self.part, r"\1 ")
-        return spread(pc.ascii_split_whitespace(marked), self._of_parts)
-
     def __call__(self, column: pa.Array) -> list[bytes]:
         other = pc.match_substring_regex(column, self.OTHER)
         plain = pc.utf8_lower(pc.if_else(other, "", column))
-        ids, ends = spread(pc.ascii_split_whitespace(plain), self._of_words)
+        ids, ends = spread(plain_parts(plain), self._of_parts)
         raw, ends = ids.tobytes(), (4 * ends).tolist()
         out = [raw[a:b] for a, b in zip([0, *ends], ends)]
         whole = np.flatnonzero(other.to_numpy(zero_copy_only=False))
@@ -229,7 +264,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> D
             )
 
         for batch in batches:
-            for part in byte_slices(batch, "text", 16 << 20):
+            for part in byte_slices(batch, "text"):
                 encoded = encode(part.column("text"))
                 ids_of = zip(part.column("doc_id").to_pylist(), encoded)
                 yield rows(s for doc_id, ids in ids_of for s in packer.add(doc_id, ids + end))
