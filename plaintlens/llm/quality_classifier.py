@@ -21,9 +21,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import byte_slices
@@ -47,13 +48,19 @@ class CoTraining:
     threshold: float = 0.5  # score under which a document goes, if that share allows
 
 
+def _view(name: str) -> Column:
+    """A column as the views read it: no nulls."""
+    if name == "n_chars":
+        return F.coalesce(F.col(name).cast("long"), F.lit(-1))
+    return F.coalesce(F.col(name).cast("string"), F.lit("" if name == "text" else "\0"))
+
+
+READ = ("text", "source", "lang", "n_chars")
+
+
 def views(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("source", F.lit("\0")).alias("source"),
-        F.coalesce("lang", F.lit("\0")).alias("lang"),
-        F.coalesce(F.col("n_chars").cast("long"), F.lit(-1)).alias("n_chars"),
+        F.col("doc_id").cast("long").alias("doc_id"), *(_view(c).alias(c) for c in READ)
     )
 
 
@@ -267,3 +274,28 @@ def quality_scores(
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return views(docs).mapInArrow(run, SCORED)
+
+
+def kept_documents(
+    docs: DataFrame, labels: DataFrame, settings: CoTraining = CoTraining()
+) -> DataFrame:
+    """The input's rows, all columns as they are, without those that the classifier rejects."""
+    model = fit(docs, labels, settings)
+    if model is None:
+        return docs
+
+    @F.pandas_udf("boolean")
+    def kept(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.Series:
+        rows = pa.RecordBatch.from_pydict(
+            {
+                "text": pa.array(text, pa.string()),
+                "source": pa.array(source, pa.string()),
+                "lang": pa.array(lang, pa.string()),
+                "n_chars": pa.array(n_chars, pa.int64()),
+            }
+        )
+        parts = byte_slices(rows, "text")
+        scores = [model.scores(*features(part))[2] for part in parts]
+        return pd.Series(np.concatenate([*scores, np.empty(0)]) >= model.threshold)
+
+    return docs.filter(kept(*(_view(c) for c in READ)))

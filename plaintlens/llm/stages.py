@@ -1,15 +1,57 @@
-"""The stages of the corpus pipeline: (name, function of (spark, docs, sf_dir))."""
+"""The stages of the corpus pipeline: (name, function of (spark, docs, sf_dir)).
+
+All but the last return the columns of ``docs``. Every stage takes nulls, repeated rows, empty
+tables and further columns as its operator does; rows without a doc_id are never dropped as near
+duplicates, for nothing tells them apart.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plaintlens.llm import exact_dedup, quality_classifier, suffix_dedup
+from plaintlens.llm.common import read
+from plaintlens.llm.packing import pack_digests
+from plaintlens.llm.simhash import simhash_components
+
 
-from plaintlens.llm.exact_dedup import kept_documents
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    return quality_classifier.kept_documents(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest doc_id."""
-    return kept_documents(docs)
+    return exact_dedup.kept_documents(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays, the one with the smallest doc_id."""
+    dropped = simhash_components(docs).filter("doc_id <> component_id").select(
+        F.col("doc_id").alias("__id")
+    )
+    ids = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    return ids.join(dropped, "__id", "left_anti").drop("__id")
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has go from the text; n_chars follows. A document of
+    which nothing is left goes."""
+    return suffix_dedup.kept_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token windows of at most 2,048 tokens, one row a piece."""
+    import public_tokenizers
+
+    return pack_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("exact_dedup", exact_stage)]
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("simhash", near_stage),
+    ("suffix_dedup", suffix_stage),
+    ("packing", packing_stage),
+]

@@ -506,13 +506,21 @@ def across_boundaries(windows: DataFrame) -> DataFrame:
     return later.select("key", "start").mapInArrow(run, "key long, data binary")
 
 
-def with_keys(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, text) with unique keys in the order of documents."""
+def with_keys(docs: DataFrame, carried: bool = False) -> DataFrame:
+    """(key, doc_id, text) with unique keys in the order of documents; ``carried`` adds the row's
+    other columns as a struct."""
     base = texts(docs)
+    if carried:
+        others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+        base = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.coalesce("text", F.lit("")).alias("text"),
+            F.struct(*others).alias("carried"),
+        )
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     odd = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
     if odd.isEmpty():
-        return base.select(F.col("doc_id").alias("key"), "doc_id", "text")
+        return base.withColumn("key", F.col("doc_id"))
     # rows that share an id, or have none, get keys that follow the sorted rows
     placed = base.repartitionByRange(F.col("doc_id").asc_nulls_first(), "text")
     placed = placed.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -557,36 +565,57 @@ def removed_windows(keyed: DataFrame, sizes: Sizes) -> DataFrame:
 OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def suffix_dedup(docs: DataFrame, with_text: bool = False, sizes: Sizes = Sizes()) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+def _with_ranges(keyed: DataFrame, sizes: Sizes) -> DataFrame:
+    ranges = removed_windows(keyed, sizes).groupBy("key").agg(F.collect_list("data").alias("ranges"))
+    return keyed.join(ranges, "key", "left").drop("key")
+
+
+def _cut(batch: pa.RecordBatch) -> Iterator[tuple[bytes, bytes, int]]:
+    """(text, what is left of it, removed runs) of each row."""
+    for text, ranges in zip(batch.column("text"), batch.column("ranges")):
+        raw = text.as_py().encode()
+        spans = spans_of(b"".join(ranges.as_py() or []), len(raw))
+        edges = [0, *spans.ravel().tolist(), len(raw)]
+        yield raw, b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])), len(spans)
+
+
+def suffix_dedup(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest())
+                for raw, kept, spans in _cut(batch)
+            ]
+            columns = list(zip(*rows)) or [()] * 4
+            numbers = [pa.array(c, pa.int64()) for c in columns[:3]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *numbers, pa.array(columns[3], pa.string())],
+                names=[x.split()[0] for x in OUTPUT.split(", ")],
+            )
+
+    return _with_ranges(with_keys(docs), sizes).mapInArrow(run, OUTPUT)
 
-    ``with_text`` adds the text that is left as ``kept_text``; bytes of a character that was cut
-    in two are left out there.
+
+def kept_documents(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """The input's rows with what is left of their texts, n_chars counted anew.
+
+    Of a character that was cut in two nothing is left; a document goes if all of it was removed.
     """
-    keyed = with_keys(docs)
-    ranges = removed_windows(keyed, sizes).groupBy("key").agg(F.collect_list("data").alias("ranges"))
-    schema = OUTPUT + ", kept_text string" * with_text
+    joined = _with_ranges(with_keys(docs, carried=True), sizes)
+    carried = joined.schema["carried"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {x.split()[0]: [] for x in schema.split(", ")}
-            for i in range(batch.num_rows):
-                raw = batch.column("text")[i].as_py().encode()
-                spans = spans_of(b"".join(batch.column("ranges")[i].as_py() or []), len(raw))
-                cuts = [0, *spans.ravel().tolist(), len(raw)]
-                kept = b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
-                out["n_bytes"].append(len(raw))
-                out["n_removed"].append(len(raw) - len(kept))
-                out["n_spans"].append(len(spans))
-                out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                if with_text:
-                    out["kept_text"].append(kept.decode(errors="ignore"))
-            out["doc_id"] = batch.column("doc_id")
-            for name in ("n_bytes", "n_removed", "n_spans"):
-                out[name] = pa.array(out[name], pa.int64())
-            for name in ("kept_sha256", "kept_text"):
-                if name in out:
-                    out[name] = pa.array(out[name], pa.string())
-            yield pa.RecordBatch.from_pydict(out)
-
-    return keyed.join(ranges, "key", "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
+            rows = [(k.decode(errors="ignore"), bool(k or not r)) for r, k, _ in _cut(batch)]
+            left = batch.append_column("kept", pa.array([t for t, _ in rows], pa.string()))
+            stays = pa.array([s for _, s in rows], pa.bool_())
+            yield left.filter(stays).select(["kept", "carried"])
+
+    kept = joined.mapInArrow(run, f"kept string, carried {carried}")
+    columns = {c: F.col(f"carried.`{c}`") for c in docs.columns if c != "text"}
+    columns["text"] = F.col("kept")
+    if "n_chars" in columns:
+        columns["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(columns[c].alias(c) for c in docs.columns))

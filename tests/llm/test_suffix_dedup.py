@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from plaintlens.llm.suffix_dedup import (
-    Sizes, Splitters, as_tokens, common_bytes, multikey_order, repeated_windows, suffix_dedup)
+    Sizes, Splitters, as_tokens, common_bytes, multikey_order, kept_documents, repeated_windows, suffix_dedup)
 
 
 def brute(rows):
@@ -94,8 +94,10 @@ def test_shared_and_missing_ids(spark):
 def test_kept_text_and_empty_table(spark):
     rng = random.Random(3)
     long = "é" * 3 + "".join(rng.choice("abcdefgh ") for _ in range(400))
-    rows = suffix_dedup(table(spark, [(1, long), (2, "head " + long + " tail")]), with_text=True).collect()
-    assert [r.kept_text for r in sorted(rows)] == [long, "head  tail"]
+    df = table(spark, [(1, long), (2, "head " + long + " tail"), (3, None), (4, long)])
+    df = df.selectExpr("doc_id", "text", "key AS kept", "cast(-1 AS bigint) AS n_chars")
+    rows = sorted(map(tuple, kept_documents(df).collect()))
+    assert rows == [(1, long, 0, 403), (2, "head  tail", 0, 10), (3, "", 0, 0)]
     assert suffix_dedup(table(spark, [])).collect() == []
 
 
