@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -50,6 +51,8 @@ _KIND = np.full(256, _SIGN, np.uint8)
 _KIND[list(b" \t\n\v\f\r")] = _SPACE
 _KIND[[*b"abcdefghijklmnopqrstuvwxyz", *range(128, 256)]] = _LETTER
 _KIND[list(b"0123456789")] = _DIGIT
+#: Words with these are left whole there.
+_UNCUT = re.compile("['\x80-\xbf×÷\u2010-\u2027]")
 
 
 def plain_parts(column: pa.Array) -> pa.ListArray:
@@ -97,9 +100,12 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        # for parts that need no further normalising or cutting
+        self.bare = Tokenizer(self.library.model)
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
@@ -108,10 +114,11 @@ class WordEncoder:
             raise ValueError("only lower-case word vocabularies are supported")
         self.parts = Cache(1_000_000)
 
-    def _library(self, wanted: list[str]) -> list[bytes]:
+    @staticmethod
+    def _encoded(library, wanted: list[str]) -> list[bytes]:
         out = []
         for start in range(0, len(wanted), 20_000):
-            done = self.library.encode_batch_fast(
+            done = library.encode_batch_fast(
                 wanted[start : start + 20_000], add_special_tokens=False
             )
             out += [array("I", e.ids).tobytes() for e in done]
@@ -120,7 +127,10 @@ class WordEncoder:
     def _of_parts(self, parts: pa.Array) -> Numbers:
         listed = parts.to_pylist()
         new = self.parts.missing(listed)
-        self.parts.update(zip(new, self._library(new)))
+        whole = [part for part in new if _UNCUT.search(part)]
+        self.parts.update(zip(whole, self._encoded(self.library, whole)))
+        bare = [part for part in new if not _UNCUT.search(part)] if whole else new
+        self.parts.update(zip(bare, self._encoded(self.bare, bare)))
         return joined(list(map(self.parts.__getitem__, listed)))
 
     def __call__(self, column: pa.Array) -> list[bytes]:
@@ -130,7 +140,9 @@ class WordEncoder:
         raw, ends = ids.tobytes(), (4 * ends).tolist()
         out = [raw[a:b] for a, b in zip([0, *ends], ends)]
         whole = np.flatnonzero(other.to_numpy(zero_copy_only=False))
-        for i, encoded in zip(whole, self._library([column[int(i)].as_py() for i in whole])):
+        for i, encoded in zip(
+            whole, self._encoded(self.library, [column[int(i)].as_py() for i in whole])
+        ):
             out[i] = encoded
         return out
 
@@ -248,19 +260,18 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> D
 
         def rows(sequences) -> pa.RecordBatch:
             nonlocal number
-            out = {name.split()[0]: [] for name in SCHEMA.split(", ")}
+            found = []
             for sequence in sequences:
                 offset = 0
                 for doc_id, start, ids, total in sequence:
                     n = len(ids) // 4
-                    for column, value in zip(
-                        out.values(), (doc_id, start, n, ids, total, number, offset)
-                    ):
-                        column.append(value)
+                    found.append((doc_id, start, n, ids, total, number, offset))
                     offset += n
                 number += 1
+            names = [name.split()[0] for name in SCHEMA.split(", ")]
+            columns = zip(names, list(zip(*found)) or [()] * len(names))
             return pa.RecordBatch.from_pydict(
-                {c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in out.items()}
+                {c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in columns}
             )
 
         for batch in batches:
