@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plaintlens.llm.bpe_codec import round_trip
+from plaintlens.llm.chat_format import conversation_digests, with_probe
 from plaintlens.llm.common import read
 from plaintlens.llm.exact_dedup import exact_dedup
+from plaintlens.llm.html_text import extract_text
 from plaintlens.llm.packing import pack_digests
+from plaintlens.llm.quality_classifier import quality_scores
 from plaintlens.llm.quality_rules import quality_rules
 from plaintlens.llm.simhash import simhash_components
 from plaintlens.llm.suffix_dedup import suffix_dedup
@@ -22,6 +25,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_digests(with_probe(spark, read(spark, sf_dir, "conversations")))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +58,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_digests(read(spark, sf_dir, "documents"), path)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
@@ -54,9 +69,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_chat_format": op4_chat_format,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
+    "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -10,4 +10,28 @@ ORACLE_SQL = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    "op4_chat_format": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        turns AS (
+            SELECT *, length(regexp_replace(t,
+                '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g')) AS n_escaped
+            FROM rows
+        ),
+        found AS (
+            SELECT conv_id,
+                   count(*) AS n_turns,
+                   string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn) AS told,
+                   coalesce(string_agg(t, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+                   sum(length('<|im_start|>') + length(role) + 1 + n_escaped
+                       + length('<|im_end|>') + 1) AS formatted_chars
+            FROM turns GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars,
+               sha256(loss) AS loss_sha256, cast(formatted_chars AS BIGINT) AS formatted_chars
+        FROM found
+    """,
 }
