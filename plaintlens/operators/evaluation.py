@@ -105,10 +105,10 @@ def range_check(rows: DataFrame) -> DataFrame:
 
 
 def report_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Question, shortened answer, sources, score text and comment, in id order."""
-    ordered = rows.orderBy("id")
-    if max_rows:
-        ordered = ordered.limit(max_rows)
+    """Question, shortened answer, sources, score text and comment.
+
+    ``max_rows`` takes the first rows by id; without it rows come in no order.
+    """
     source = F.transform(
         "retrieved_sources",
         lambda s: F.format_string(
@@ -118,7 +118,7 @@ def report_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
     sources = F.array_join(source, "; ")
     answer = F.substring(F.replace(F.coalesce("answer", F.lit("")), F.lit("\n"), F.lit(" ")), 1, 150)
     score = F.format_string("R:%s/F:%s", F.col("retrieval_relevance"), F.col("faithfulness"))
-    return ordered.select(
+    shown = rows.select(
         "id",
         "question",
         F.concat(answer, F.lit("...")).alias("answer"),
@@ -132,3 +132,4 @@ def report_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
             F.nullif(F.col("comment"), F.lit("")), F.col("judge_error"), F.lit("")
         ).alias("comment"),
     )
+    return shown.orderBy("id").limit(max_rows) if max_rows else shown

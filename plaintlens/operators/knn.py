@@ -5,32 +5,32 @@ as rows. Each task multiplies its Arrow batches with the question matrix and kee
 question, only the best ``k`` seen so far; a task emits at most ``questions * k`` rows, and the
 final ranking shuffles just those.
 
-* Few questions (checked against a byte bound): their matrix travels to the tasks, the store is
-  scanned once and is not shuffled.
-* More questions: both sides are cut into blocks by id hash and every pair of blocks meets in
-  its own task, so neither side ever sits whole in the driver or in one task.
+Questions are taken in blocks of a bounded number of bytes. A block's matrix travels to the tasks
+and the store is scanned once for it, without a shuffle and without copies; its best hits are
+written before the next block is read, so the driver holds one block at a time.
 
-Distances are rounded to nine places before ranking; equal ones go to the smaller id.
+Vectors are compared with those of the same length only; :func:`incomparable` names the questions
+that no stored vector can answer. Distances are rounded to nine places before ranking; equal ones
+go to the smaller id.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plaintlens import constants as K
+from plaintlens.session import scratch_path
 
 MAX_QUESTION_BYTES = 32 * 1024 * 1024
-QUESTIONS_PER_BLOCK = 2_048
-STORED_PER_BLOCK = 50_000
-# Tasks hand on questions * k rows each; past this sum, splits are merged into fewer tasks.
-MAX_PARTIAL_ROWS = 100_000_000
 _CELLS = 4_000_000
 
 _SCHEMA = "question_id string, id string, distance double"
@@ -45,32 +45,38 @@ class _Best:
     def __init__(self, ids: list[str], vectors: np.ndarray, categories: list[str], k: int):
         self.ids, self.vectors, self.k = ids, vectors.astype("float64"), k
         self.norms = (self.vectors**2).sum(axis=1)
-        self.categories = np.array(categories, dtype=object)
-        self.filtered = bool((self.categories != "").any())
+        # categories are compared as codes; -1 asks for no category
+        self.names = sorted({c for c in categories if c != ""})
+        code = {name: i for i, name in enumerate(self.names)}
+        self.categories = np.array([code.get(c, -1) for c in categories])
         self.best: list[list[tuple[float, str]]] = [[] for _ in ids]
         self.limit = np.full(len(ids), np.inf)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray, categories: np.ndarray | None) -> None:
+    def add(self, ids: pa.Array, vectors: np.ndarray, categories: pa.Array | None) -> None:
+        codes = None
+        if self.names:
+            codes = pc.index_in(categories, value_set=pa.array(self.names))
+            codes = pc.fill_null(codes, -2).to_numpy(zero_copy_only=False)
         rows = max(1, _CELLS // max(1, len(self.ids)))
         for at in range(0, len(ids), rows):
             part = slice(at, at + rows)
-            self._add(ids[part], vectors[part], None if categories is None else categories[part])
+            self._add(ids[part], vectors[part], None if codes is None else codes[part])
 
-    def _add(self, ids, vectors, categories) -> None:
+    def _add(self, ids: pa.Array, vectors: np.ndarray, codes: np.ndarray | None) -> None:
         vectors = vectors.astype("float64")
         distance = self.norms[:, None] + (vectors**2).sum(axis=1) - 2 * (self.vectors @ vectors.T)
         distance = np.round(np.maximum(distance, 0.0), 9)
         near = distance <= self.limit[:, None]
-        if self.filtered:
-            near &= (self.categories[:, None] == "") | (
-                self.categories[:, None] == categories[None, :]
-            )
+        if codes is not None:
+            near &= (self.categories[:, None] == -1) | (self.categories[:, None] == codes[None, :])
         for q in np.flatnonzero(near.any(axis=1)):
             found = np.flatnonzero(near[q])
             if len(found) > self.k:
                 kth = np.partition(distance[q, found], self.k - 1)[self.k - 1]
                 found = found[distance[q, found] <= kth]
-            merged = self.best[q] + list(zip(distance[q, found].tolist(), ids[found].tolist()))
+            # ids become Python texts for these few rows only
+            names = ids.take(pa.array(found)).to_pylist()
+            merged = self.best[q] + list(zip(distance[q, found].tolist(), names))
             merged.sort()
             self.best[q] = merged[: self.k]
             if len(merged) >= self.k:
@@ -91,62 +97,53 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.reshape(len(column), dim)
 
 
-def _texts(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=object)
-
-
-def _with_few_questions(rows, store: DataFrame, k: int, dim: int) -> DataFrame:
-    ids = [r["question_id"] for r in rows]
-    vectors = np.array([r["embedding"] for r in rows], dtype="float64").reshape(len(ids), dim)
-    categories = [r["filter_category"] for r in rows]
-    packed = store.sparkSession.sparkContext.broadcast((ids, vectors, categories))
+def _scan(rows, store: DataFrame, k: int) -> DataFrame:
+    """The best of every task for one block of questions."""
+    blocks = {}
+    for length in {len(r["embedding"]) for r in rows}:
+        own = [r for r in rows if len(r["embedding"]) == length]
+        vectors = np.array([r["embedding"] for r in own], dtype="float64")
+        blocks[length] = (
+            [r["question_id"] for r in own],
+            vectors.reshape(len(own), length),
+            [r["filter_category"] for r in own],
+        )
+    packed = store.sparkSession.sparkContext.broadcast(blocks)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(*packed.value, k)
+        best = {length: _Best(*block, k) for length, block in packed.value.items()}
         for batch in batches:
-            best.add(
-                _texts(batch.column("id")),
-                _matrix(batch.column("embedding"), dim),
-                _texts(batch.column("category")) if best.filtered else None,
-            )
-        yield best.rows()
+            lengths = pc.list_value_length(batch.column("embedding"))
+            for length, own in best.items():
+                same = batch.filter(pc.equal(lengths, length))
+                if same.num_rows:
+                    own.add(
+                        same.column("id"),
+                        _matrix(same.column("embedding"), length),
+                        same.column("category"),
+                    )
+        for own in best.values():
+            yield own.rows()
 
-    # coalesce merges splits without a shuffle and leaves fewer splits as they are
-    cores = store.sparkSession.sparkContext.defaultParallelism
-    tasks = max(MAX_PARTIAL_ROWS // max(1, len(ids) * k), cores)
-    return store.coalesce(tasks).mapInArrow(scan, _SCHEMA)
+    return store.mapInArrow(scan, _SCHEMA)
 
 
-def _with_many_questions(
-    questions: DataFrame, store: DataFrame, k: int, dim: int, n_questions: int
-) -> DataFrame:
-    a = max(1, math.ceil(n_questions / QUESTIONS_PER_BLOCK))
-    b = max(1, math.ceil(store.count() / STORED_PER_BLOCK))
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = _Best(
-            left.column("question_id").to_pylist(),
-            _matrix(left.column("embedding"), dim),
-            left.column("filter_category").to_pylist(),
-            k,
-        )
-        best.add(
-            _texts(right.column("id")),
-            _matrix(right.column("embedding"), dim),
-            _texts(right.column("category")),
-        )
-        return pa.Table.from_batches([best.rows()])
+def incomparable(questions: DataFrame, store: DataFrame) -> DataFrame:
+    """(question_id, reject_reason) of questions whose vector has a length that no stored one has.
 
-    left = questions.withColumn(
-        "_a", F.pmod(F.xxhash64("question_id"), F.lit(a)).cast("int")
-    ).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-    right = store.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")).withColumn(
-        "_a", F.explode(F.sequence(F.lit(0), F.lit(a - 1)))
-    )
-    return (
-        left.groupBy("_a", "_b")
-        .cogroup(right.groupBy("_a", "_b"))
-        .applyInArrow(meet, _SCHEMA)
+    The lengths in the store are counted in one narrow pass; an empty store refuses nothing.
+    """
+    stored = store.groupBy(F.size("embedding").alias("_n")).agg(F.count(F.lit(1)).alias("_rows"))
+    most = stored.orderBy(F.col("_rows").desc(), "_n").limit(5).collect()
+    told = ", ".join(str(r["_n"]) for r in most)
+    asked = questions.filter(F.lit(bool(most)))
+    return asked.join(stored, F.size("embedding") == F.col("_n"), "left_anti").select(
+        "question_id",
+        F.concat(
+            F.lit("Retrieval failed: the question's vector has "),
+            F.size("embedding").cast("string"),
+            F.lit(f" numbers, stored vectors have {told}."),
+        ).alias("reject_reason"),
     )
 
 
@@ -160,8 +157,7 @@ def nearest(
     """The ``k`` nearest stored vectors of each question: question_id, id, distance, rank.
 
     ``questions`` has question_id, embedding and optionally filter_category (null or "" searches
-    everything); ``store`` has id, embedding and ``category``. Vectors whose length differs from
-    the questions' cannot be compared and never match.
+    everything); ``store`` has id, embedding and ``category``.
     """
     if "filter_category" not in questions.columns:
         questions = questions.withColumn("filter_category", F.lit(""))
@@ -170,28 +166,33 @@ def nearest(
         F.coalesce("filter_category", F.lit("")).alias("filter_category"),
         "embedding",
     )
-    size = questions.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dim")
-    ).first()
-    n, dim = size["n"], size["dim"]
-    questions = questions.filter(F.size("embedding") == dim)
     if category not in store.columns:
         store = store.withColumn(category, F.lit(""))
-    store = store.filter(F.size("embedding") == dim).select(
-        F.col("id").cast("string").alias("id"), "embedding", F.col(category).alias("_category")
+    store = store.select(
+        F.col("id").cast("string").alias("id"), "embedding", F.col(category).alias("category")
     )
-    if n * dim * 8 <= max_question_bytes:
-        rows = questions.collect()
+    size = questions.agg(F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, math.ceil(size * 8 / max(1, max_question_bytes)))
+    block_of = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
+    order = W.partitionBy("question_id").orderBy("distance", "id")
+    if blocks > 1:
+        path = scratch_path(store.sparkSession, "question-blocks")
+        questions.withColumn("block", block_of).write.partitionBy("block").parquet(path)
+        questions = store.sparkSession.read.parquet(path)
+    done = []
+    for block in range(blocks):
+        own = questions if blocks == 1 else questions.filter(F.col("block") == block)
+        rows = own.collect()  # bounded by max_question_bytes
         wanted = {r["filter_category"] for r in rows}
+        scanned = store
         if rows and "" not in wanted:
             # every question names a category: only those store partitions are read
-            store = store.filter(F.col("_category").isin(sorted(wanted)))
-        found = _with_few_questions(
-            rows, store.withColumnRenamed("_category", "category"), k, dim
-        )
-    else:
-        found = _with_many_questions(
-            questions, store.withColumnRenamed("_category", "category"), k, dim, n
-        )
-    order = W.partitionBy("question_id").orderBy("distance", "id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            scanned = store.filter(F.col("category").isin(sorted(wanted)))
+        found = _scan(rows, scanned, k)
+        found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        if blocks > 1:
+            path = scratch_path(store.sparkSession, "nearest")
+            found.write.parquet(path)
+            found = store.sparkSession.read.schema(found.schema).parquet(path)
+        done.append(found)
+    return reduce(DataFrame.unionByName, done)

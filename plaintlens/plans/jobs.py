@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaintlens import constants as K
-from plaintlens.operators import chunking, complaints, evaluation, inference, metadata, sampling
+from plaintlens.operators import (
+    chunking,
+    complaints,
+    evaluation,
+    inference,
+    knn,
+    metadata,
+    sampling,
+)
 from plaintlens.operators.embedding import hash_embed
 from plaintlens.operators.retrieval import check_questions, retrieve
 from plaintlens.session import cut_lineage, scratch_path
 from plaintlens.sources import readers, writers
 
-# A manifest lists sampled ids itself up to this many; the sampled_ids table always has them all.
-MAX_IDS_IN_MANIFEST = 50_000
-# Likewise for categories; `metadata.category_counts` over the store lists any number of them.
-MAX_CATEGORIES_IN_MANIFEST = 1_000
-
 Embedder = Callable[[DataFrame], DataFrame]
 
 
@@ -58,6 +61,7 @@ def build_sample_store(
 ) -> DataFrame:
     """Sample, chunk, embed, store; returns the one-row manifest (also written as JSON).
 
+    Sampled ids (sorted) and rows per category are tables that the manifest names: any number fits.
     ``cleaned`` should be a stored table: sampling first reads its ids and categories, then the
     sampled rows.
     """
@@ -70,12 +74,13 @@ def build_sample_store(
     chunks = chunking.chunk_table(sampled, size=size, overlap=overlap)
     store_path = writers.write_collection(to_store(chunks, embed), output_dir, collection)
 
+    ids_path = f"{output_dir}/{collection}_sampled_ids"
+    counts_path = f"{output_dir}/{collection}_category_counts"
     ids = sampled.select(F.col("complaint_id").cast("string").alias("complaint_id"))
-    ids.orderBy("complaint_id").write.mode("overwrite").parquet(
-        f"{output_dir}/{collection}_sampled_ids"
-    )
-    counts = sampling.sample_summary(sampled)
-    manifest = sampled.agg(F.count(F.lit(1)).alias("sample_size_actual")).select(
+    ids.orderBy("complaint_id").write.mode("overwrite").parquet(ids_path)
+    counts = _counted(sampled.groupBy("product_category").count(), counts_path)
+    taken = F.coalesce(F.sum("count"), F.lit(0)).alias("sample_size_actual")
+    manifest = counts.agg(taken).select(
         F.lit(input_path).alias("input_path"),
         F.lit(output_dir).alias("output_dir"),
         F.lit(collection).alias("collection_name"),
@@ -89,26 +94,18 @@ def build_sample_store(
         F.lit(overlap).alias("chunk_overlap"),
         F.lit(model_name).alias("embedding_model"),
         F.lit(seed).alias("random_state"),
-        _as_map(counts, "product_category").alias("category_counts"),
-        _listed_ids(ids).alias("sampled_complaint_ids"),
+        F.lit(counts_path).alias("category_counts_path"),
+        F.lit(ids_path).alias("sampled_ids_path"),
         F.lit((datetime.now(timezone.utc) - started).total_seconds()).alias("elapsed_seconds"),
     )
     writers.write_manifest(manifest, f"{output_dir}/{collection}_manifest")
     return spark.read.json(f"{output_dir}/{collection}_manifest")
 
 
-def _as_map(counts: DataFrame, key: str):
-    """category -> count as a map; null when a dirty column has too many values to list."""
-    if counts.limit(MAX_CATEGORIES_IN_MANIFEST + 1).count() > MAX_CATEGORIES_IN_MANIFEST:
-        return F.lit(None).cast("map<string,bigint>")
-    return counts.agg(F.map_from_entries(F.collect_list(F.struct(key, "count")))).scalar()
-
-
-def _listed_ids(ids: DataFrame):
-    """Sorted ids as an array when they are few; null when only the table can hold them."""
-    if ids.limit(MAX_IDS_IN_MANIFEST + 1).count() > MAX_IDS_IN_MANIFEST:
-        return F.lit(None).cast("array<string>")
-    return ids.agg(F.sort_array(F.collect_list("complaint_id"))).scalar()
+def _counted(counts: DataFrame, path: str) -> DataFrame:
+    """Rows per category as a table of its own, whatever their number."""
+    counts.write.mode("overwrite").parquet(path)
+    return counts.sparkSession.read.parquet(path)
 
 
 def ingest_embeddings(
@@ -122,26 +119,28 @@ def ingest_embeddings(
 ) -> DataFrame:
     """Pre-embedded table -> store without embedding again; returns the one-row manifest."""
     started = datetime.now(timezone.utc)
+    counts_path = f"{output_dir}/{collection}_category_counts"
     taken = source if limit_rows is None else source.limit(limit_rows)
     flat = metadata.flatten_metadata(taken)
     writers.write_collection(flat, output_dir, collection, layout)
+    # what follows reads the store's ids and categories, never the source again
     store = readers.open_collection(spark, output_dir, collection, flat.schema)
-    counts = metadata.category_counts(store.na.fill("", ["product_category"]))
-    n_source = source.agg(F.count(F.lit(1))).scalar()
-    manifest = store.agg(
-        F.count(F.lit(1)).alias("rows_ingested"),
-        F.countDistinct("id").alias("final_collection_count"),
-    ).select(
+    category = F.coalesce("product_category", F.lit("")).alias("product_category")
+    counts = _counted(store.groupBy(category).count(), counts_path)
+    n_source = F.lit(None) if limit_rows is None else source.agg(F.count(F.lit(1))).scalar()
+    n_ids = store.agg(F.countDistinct("id")).scalar()
+    ingested = F.coalesce(F.sum("count"), F.lit(0)).alias("rows_ingested")
+    manifest = counts.agg(ingested).select(
         F.lit(input_path).alias("input_path"),
         F.lit(output_dir).alias("output_dir"),
         F.lit(collection).alias("collection_name"),
-        n_source.alias("rows_in_source_file"),
+        F.coalesce(n_source.cast("bigint"), "rows_ingested").alias("rows_in_source_file"),
         "rows_ingested",
-        "final_collection_count",
-        _as_map(counts, "product_category").alias("category_counts"),
+        n_ids.alias("final_collection_count"),
+        F.lit(counts_path).alias("category_counts_path"),
         F.lit(limit_rows).cast("bigint").alias("limit_rows"),
         F.lit((datetime.now(timezone.utc) - started).total_seconds()).alias("elapsed_seconds"),
-        (F.col("rows_ingested") != F.col("final_collection_count")).alias("has_duplicate_ids"),
+        (F.col("rows_ingested") != n_ids).alias("has_duplicate_ids"),
     )
     writers.write_manifest(manifest, f"{output_dir}/{collection}_manifest")
     return spark.read.json(f"{output_dir}/{collection}_manifest")
@@ -174,7 +173,11 @@ def evaluate_run(
     asked = questions.select(F.col("id").alias("question_id"), "category", "question")
     checked = cut_lineage(check_questions(asked))
     valid = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    hits = retrieve(valid.drop("category"), store, top_k, embed)
+    embedded = cut_lineage((embed or (lambda df: hash_embed(df, "question")))(valid))
+    refused = knn.incomparable(embedded, store)
+    valid = valid.join(refused, "question_id", "left_anti")
+    found = embedded.join(refused, "question_id", "left_anti")
+    hits = retrieve(valid.drop("category"), store, top_k, lambda _: found)
     prompts = inference.with_prompts(inference.with_sources(valid, hits), organisation)
 
     answered = _written(
@@ -184,7 +187,12 @@ def evaluate_run(
         inference.judge_answers(answered, make_judge, parallelism=parallelism), "judged"
     )
     rows = evaluation.evaluation_rows(judged).unionByName(
-        evaluation.failed_rows(checked.filter(F.col("reject_reason").isNotNull()))
+        evaluation.failed_rows(
+            checked.join(refused.withColumnRenamed("reject_reason", "_why"), "question_id", "left")
+            .withColumn("reject_reason", F.coalesce("reject_reason", "_why"))
+            .drop("_why")
+            .filter(F.col("reject_reason").isNotNull())
+        )
     )
     if reused is not None:
         rows = rows.unionByName(reused.select(*rows.columns))
@@ -207,10 +215,9 @@ def resume_source(
     spark: SparkSession, results_dir: str, run_timestamp: str | None = None
 ) -> DataFrame:
     """Rows of the named run, or of the newest one."""
-    runs = readers.read_runs(spark, results_dir)
     if run_timestamp is None:
-        return readers.latest_run(runs)
-    return runs.filter(F.col("run_timestamp") == run_timestamp)
+        return readers.latest_run(spark, results_dir)
+    return readers.read_runs(spark, results_dir).filter(F.col("run_timestamp") == run_timestamp)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ STAND_IN_MAP = {
     "Money Transfer": ["src8", "src9"],
 }
 SAMPLE_ROWS = 150
+INGEST_LIMITS = [0, 25, 10**9]
+LOOKED_UP = ["0_0", "2_0", "2_1", "4_0", "none"]
+REPORT_ROWS = 20
 RUN_STAMPS = ["2024-01-01T00:00:00+00:00", "2024-01-02T00:00:00+00:00"]
 # Texts put in front of real documents, so that every opener rule has work at any scale.
 OPENERS = [
@@ -553,7 +557,7 @@ def question_coverage(spark, d):
 
 
 def context_prompt(spark, d):
-    """A prompt per question from the stored chunks of one complaint per question."""
+    """A prompt per question from its three nearest stored chunks."""
     hits = retrieval.retrieve(
         benchmark_questions(spark, d).drop("category"), written_text_store(spark, d), 3
     )
@@ -623,21 +627,179 @@ def build_manifest(spark, d):
     manifest = jobs.build_sample_store(
         spark, spark.read.parquet(f"{base}/cleaned"), base, sample_size=SAMPLE_ROWS
     )
-    listed = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"category_counts.`{c}`"), F.lit(0)).cast("string"))
-        for c in sorted(STAND_IN_MAP)
-    ]
+    counts = spark.read.parquet(f"{base}/complaints_sample_category_counts")
+    ids = spark.read.parquet(f"{base}/complaints_sample_sampled_ids")
     return manifest.select(
         "sample_size_requested",
         "sample_size_actual",
         "num_chunks",
         "chunk_size",
         "chunk_overlap",
-        F.concat_ws(",", *listed).alias("category_counts"),
-        F.md5(F.array_join("sampled_complaint_ids", ",")).alias("ids_md5"),
+        _counts_text(counts).alias("category_counts"),
+        # every id leaves its mark, in any number and without one list of all
+        ids.agg(F.sum(F.conv(F.substring(F.md5("complaint_id"), 1, 8), 16, 10).cast("bigint")))
+        .scalar()
+        .alias("ids_sum"),
+    )
+
+
+def _counts_text(counts):
+    named = F.concat("product_category", F.lit("="), F.col("count").cast("string"))
+    return counts.agg(F.array_join(F.sort_array(F.collect_list(named)), ",")).scalar()
+
+
+def _manifest_row(manifest, counts):
+    return manifest.select(
+        "rows_in_source_file",
+        "rows_ingested",
+        "final_collection_count",
+        "has_duplicate_ids",
+        _counts_text(counts).alias("category_counts"),
+    )
+
+
+def ingest_manifest(spark, d):
+    """The manifest of a full ingest, with the categories of its table of counts."""
+    base = scratch_path(spark, "ingest")
+    manifest = jobs.ingest_embeddings(spark, prebuilt(spark, d), base)
+    return _manifest_row(manifest, spark.read.parquet(f"{base}/complaints_full_category_counts"))
+
+
+def ingest_limited(spark, d):
+    """Ingests of no row, of some, and of more rows than there are."""
+    source = prebuilt(spark, d)
+    out = []
+    for limit in INGEST_LIMITS:
+        base = scratch_path(spark, "ingest")
+        manifest = jobs.ingest_embeddings(spark, source, base, limit_rows=limit)
+        out.append(manifest.select("limit_rows", "rows_in_source_file", "rows_ingested"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _awkward_store(spark, d):
+    """A stored collection whose categories look like numbers or dates, are empty or missing."""
+    base = scratch_path(spark, "store")
+    label = F.pmod("label", F.lit(4))
+    rows = _table(spark, d, "embeddings").select(
+        F.col("vec_id").cast("string").alias("id"),
+        "embedding",
+        F.when(label == 0, "001").when(label == 1, "2024-01-01").when(label == 2, "").alias(
+            "product_category"
+        ),
+    )
+    writers.write_collection(rows, base, "vectors")
+    return readers.open_collection(spark, base, "vectors")
+
+
+def stored_categories(spark, d):
+    return _awkward_store(spark, d).groupBy("product_category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stored_filtered_search(spark, d):
+    """Filtered questions against that collection."""
+    asked = category_questions(spark, d)
+    wanted = F.explode(F.array(F.lit("001"), F.lit("2024-01-01")))
+    questions = asked.withColumn("filter_category", wanted).withColumn(
+        "question_id", F.concat_ws("/", "question_id", "filter_category")
+    )
+    return _shown(knn.nearest(questions, _awkward_store(spark, d), 3))
+
+
+def knn_many(spark, d):
+    """Every stored vector as a question, in several blocks."""
+    store = vector_store(spark, d)
+    questions = store.select(F.col("id").alias("question_id"), unit(F.col("embedding")).alias("embedding"))
+    return _shown(knn.nearest(questions, store, 3, max_question_bytes=100_000))
+
+
+def failed_questions(spark, d):
+    """Questions whose vectors are too short for the store."""
+    store = vector_store(spark, d)
+    size = F.when(F.pmod(F.col("id").cast("bigint"), F.lit(3)) == 0, 5).otherwise(64)
+    questions = store.select(
+        F.col("id").alias("question_id"), F.slice("embedding", F.lit(1), size).alias("embedding")
+    )
+    return knn.incomparable(questions, store)
+
+
+def id_lookup(spark, d):
+    """Rows of a stored collection by id, beside the collection's size."""
+    store = written_text_store(spark, d)
+    size = readers.collection_size(store).scalar()
+    found = readers.lookup_ids(store, LOOKED_UP)
+    return found.select("id", "complaint_id", F.md5("document").alias("document_md5"), size.alias("n_chunks"))
+
+
+def folder_scan(spark, d):
+    """Embeddings kept as files in nested folders, read by column."""
+    base = scratch_path(spark, "folder")
+    parts = _table(spark, d, "embeddings").withColumn("part", F.pmod("vec_id", F.lit(3)))
+    parts.write.partitionBy("part").parquet(base)
+    return readers.read_embeddings(spark, base, ["vec_id", "label"])
+
+
+def raw_csv_scan(spark, d):
+    """Raw exports with different header orders, one of them with dates that are none."""
+    base = scratch_path(spark, "csv")
+    date = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(365)).cast("int"))
+    rows = _table(spark, d, "documents").select(
+        F.when(F.pmod("doc_id", F.lit(7)) == 0, "soon").otherwise(date.cast("string")).alias("Date received"),
+        F.col("source").alias("Product"),
+        F.lit("a, b").alias("Sub-product"),
+        F.concat(F.lit('say "'), "lang", F.lit('"')).alias("Issue"),
+        F.lit("N/A").alias("Sub-issue"),
+        F.col("text").alias("Consumer complaint narrative"),
+        F.concat(F.lit("company "), "source").alias("Company"),
+        F.col("lang").alias("State"),
+        F.col("doc_id").alias("Complaint ID"),
+    )
+    for i, names in enumerate((rows.columns, rows.columns[::-1])):
+        (
+            rows.filter(F.pmod("doc_id", F.lit(2)) == i)
+            .select(*(f"`{n}`" for n in names))
+            .write.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .mode("append")
+            .csv(base)
+        )
+    unreadable = readers.unreadable_dates(spark, base).scalar()
+    return readers.read_raw_complaints(spark, base).select(
+        "complaint_id",
+        F.coalesce(F.date_format("date_received", "yyyy-MM-dd"), F.lit("(none)")).alias("date_received"),
+        "product",
+        "company",
+        "state",
+        "issue",
+        F.coalesce("sub_issue", F.lit("(none)")).alias("sub_issue"),
+        F.md5("narrative").alias("narrative_md5"),
+        unreadable.alias("unreadable_dates"),
     )
 
 
+def report_capped(spark, d):
+    return evaluation.report_rows(scored_rows(spark, d), REPORT_ROWS)
+
+
+def unanswered_rate(spark, d):
+    """Every third document as an answer that admits it does not know."""
+    admits = F.pmod("doc_id", F.lit(3)) == 0
+    answers = _table(spark, d, "documents").select(
+        F.when(admits, F.concat(F.lit("Sorry. "), F.lit(K.NOT_ENOUGH_INFORMATION))).otherwise(
+            F.col("text")
+        ).alias("answer")
+    )
+    return retrieval.unanswered_rate(answers)
+
+
+def filtered_retrieval(spark, d):
+    """The question set, each question within its own category."""
+    asked = benchmark_questions(spark, d).withColumnRenamed("category", "filter_category")
+    hits = retrieval.retrieve(asked, written_text_store(spark, d), 2)
+    return hits.select("question_id", "rank", "id", "product_category", "similarity_score")
+
+
 def history_append(spark, d):
     """Two runs saved, then the history and the newest run read back."""
     base = scratch_path(spark, "results")
@@ -645,9 +807,7 @@ def history_append(spark, d):
     summary = evaluation.summarize(rows)
     for stamp in RUN_STAMPS:
         writers.save_run(rows, summary, base, stamp)
-    newest = readers.latest_run(readers.read_runs(spark, base)).agg(
-        F.count(F.lit(1))
-    ).scalar()
+    newest = readers.latest_run(spark, base).agg(F.count(F.lit(1))).scalar()
     return readers.read_history(spark, base).withColumn("rows_in_newest_run", newest)
 
 
@@ -729,6 +889,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dim_check, sample_rows, knn_topk, knn_filtered, text_retrieval, retrieval_quality,
         question_validation, question_coverage, context_prompt, judge_parse, eval_summary,
         resume_rows, report_rows, batch_answers, build_manifest, history_append, csv_roundtrip,
-        dataset_profile, question_source, pca_projection,
+        dataset_profile, question_source, pca_projection, ingest_manifest, ingest_limited,
+        stored_categories, stored_filtered_search, knn_many, failed_questions, id_lookup,
+        folder_scan, raw_csv_scan, report_capped, unanswered_rate, filtered_retrieval,
     ]
 }

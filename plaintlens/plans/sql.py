@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from plaintlens import constants as K
 from plaintlens.functions.text import seed_lexicon
-from plaintlens.plans.queries import NOISE, OPENERS, RUN_STAMPS, SAMPLE_ROWS, STAND_IN_MAP
+from plaintlens.plans.queries import (
+    INGEST_LIMITS,
+    LOOKED_UP,
+    NOISE,
+    OPENERS,
+    REPORT_ROWS,
+    RUN_STAMPS,
+    SAMPLE_ROWS,
+    STAND_IN_MAP,
+)
 
 _RANGES = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -316,6 +325,8 @@ near AS (
                - 2 * list_inner_product(q, v), 9) AS distance
   FROM asked CROSS JOIN vectors)"""
 
+_AWKWARD = "CASE label % 4 WHEN 0 THEN '001' WHEN 1 THEN '2024-01-01' WHEN 2 THEN '' END"
+
 _SCORED = """scored AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source, d.lang, d.text, d.n_chars,
          l.quality, l.toxic, 5 - l.toxic * 3 AS relevance, 1 + l.quality * 4 AS faithful
@@ -548,8 +559,10 @@ SELECT question_id AS id, category, answer, sources, false AS generation_error,
 SELECT {SAMPLE_ROWS} AS sample_size_requested, (SELECT count(*) FROM sampled) AS sample_size_actual,
        (SELECT count(*) FROM chunked) AS num_chunks, {K.CHUNK_SIZE} AS chunk_size,
        {K.CHUNK_OVERLAP} AS chunk_overlap,
-       concat({", ',', ".join(f"{_q(c + '=')}, (SELECT count(*) FROM sampled WHERE product_category = {_q(c)})" for c in sorted(STAND_IN_MAP))}) AS category_counts,
-       (SELECT md5(string_agg(CAST(complaint_id AS VARCHAR), ',' ORDER BY CAST(complaint_id AS VARCHAR))) FROM sampled) AS ids_md5""",
+       (SELECT array_to_string(list_sort(list(product_category || '=' || n)), ',')
+        FROM (SELECT product_category, count(*) AS n FROM sampled GROUP BY 1)) AS category_counts,
+       (SELECT CAST(sum(('0x' || substr(md5(CAST(complaint_id AS VARCHAR)), 1, 8))::BIGINT) AS BIGINT)
+        FROM sampled) AS ids_sum""",
     "history_append": f"""WITH {_SCORED}, summary AS ({_SUMMARY})
 SELECT stamp AS run_timestamp, summary.*, concat('runs/run_timestamp=', stamp) AS results_file,
        n_total AS rows_in_newest_run
@@ -561,4 +574,61 @@ SELECT complaint_id, strftime(DATE '2024-01-01' + CAST(complaint_id % 365 AS INT
     "dataset_profile": """SELECT 1 AS n_files, count(*) AS n_rows, 5 AS n_columns,
        'doc_id,text,lang,source,n_chars' AS columns FROM documents""",
     "question_source": f"WITH {_QUESTIONS} SELECT question_id AS id, category, question FROM questions",
+    "ingest_manifest": f"""WITH {_PREBUILT}
+SELECT count(*) AS rows_in_source_file, count(*) AS rows_ingested, count(DISTINCT id) AS final_collection_count,
+       count(*) <> count(DISTINCT id) AS has_duplicate_ids,
+       (SELECT array_to_string(list_sort(list(product_category || '=' || n)), ',')
+        FROM (SELECT product_category, count(*) AS n FROM flat GROUP BY 1)) AS category_counts
+FROM flat""",
+    "ingest_limited": f"""WITH {_PREBUILT}
+SELECT n AS limit_rows, (SELECT count(*) FROM flat) AS rows_in_source_file,
+       least(n, (SELECT count(*) FROM flat)) AS rows_ingested
+FROM (VALUES {', '.join(f'({n}::BIGINT)' for n in INGEST_LIMITS)}) limits(n)""",
+    "stored_categories": f"""SELECT {_AWKWARD} AS product_category, count(*) AS n FROM embeddings GROUP BY 1""",
+    "stored_filtered_search": f"""WITH {_VECTORS},
+kept AS (SELECT CAST(vec_id AS VARCHAR) AS id, {_AWKWARD} AS category FROM embeddings)
+SELECT concat(question_id, '/', category) AS question_id, CAST(rank AS INTEGER) AS rank, id,
+       round(greatest(distance, 0.0), 6) AS distance
+FROM (SELECT question_id, category, id, distance,
+             row_number() OVER (PARTITION BY question_id, category ORDER BY greatest(distance, 0.0), id) AS rank
+      FROM near JOIN kept USING (id) WHERE category IN ('001', '2024-01-01'))
+WHERE rank <= 3""",
+    "knn_many": """WITH vectors AS (
+  SELECT CAST(vec_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS v,
+         sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
+  FROM embeddings),
+asked AS (SELECT id AS question_id, list_transform(v, lambda x: CAST(x / norm AS FLOAT)::DOUBLE) AS q FROM vectors),
+near AS (
+  SELECT question_id, id, greatest(round(list_inner_product(q, q) + list_inner_product(v, v)
+                                         - 2 * list_inner_product(q, v), 9), 0.0) AS distance
+  FROM asked CROSS JOIN vectors)
+SELECT question_id, CAST(rank AS INTEGER) AS rank, id, round(abs(distance), 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, id) AS rank FROM near)
+WHERE rank <= 3""",
+    "failed_questions": """SELECT CAST(vec_id AS VARCHAR) AS question_id,
+       'Retrieval failed: the question''s vector has 5 numbers, stored vectors have 64.' AS reject_reason
+FROM embeddings WHERE vec_id % 3 = 0""",
+    "id_lookup": f"""WITH {_CHUNKS}
+SELECT id, complaint_id, md5(chunk_text) AS document_md5, (SELECT count(*) FROM chunked) AS n_chunks
+FROM (SELECT concat(complaint_id, '_', chunk_index) AS id, * FROM chunked)
+WHERE id IN ({', '.join(map(_q, LOOKED_UP))})""",
+    "folder_scan": "SELECT vec_id, label FROM embeddings",
+    "raw_csv_scan": """SELECT doc_id AS complaint_id,
+       CASE WHEN doc_id % 7 = 0 THEN '(none)'
+            ELSE strftime(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m-%d') END AS date_received,
+       source AS product, concat('company ', source) AS company, lang AS state,
+       concat('say "', lang, '"') AS issue, '(none)' AS sub_issue, md5(text) AS narrative_md5,
+       (SELECT count(*) FROM documents WHERE doc_id % 7 = 0) AS unreadable_dates
+FROM documents""",
+    "unanswered_rate": """SELECT count(*) AS n_answers,
+       round(avg(CASE WHEN doc_id % 3 = 0 THEN 1.0 ELSE 0.0 END), 4) AS not_enough_rate FROM documents""",
+    "filtered_retrieval": f"""WITH {_TEXT_HITS}
+SELECT question_id, CAST(rank AS INTEGER) AS rank, id, product_category,
+       CASE WHEN round(1 - distance, 4) = 0 THEN 0.0::DOUBLE ELSE round(1 - distance, 4) END AS similarity_score
+FROM (SELECT near.question_id, id, chunked.product_category, distance,
+             row_number() OVER (PARTITION BY near.question_id ORDER BY distance, id) AS rank
+      FROM near JOIN chunked USING (id) JOIN questions ON questions.question_id = near.question_id
+      WHERE chunked.product_category = questions.category)
+WHERE rank <= 2""",
 }
+ORACLE_SQL["report_capped"] = ORACLE_SQL["report_rows"] + f" ORDER BY id LIMIT {REPORT_ROWS}"

@@ -70,3 +70,6 @@ HIT_DEFAULTS = {
     "sub_issue": "",
     "date_received": "",
 }
+
+# Folder name of an empty category; a null one has the usual default folder.
+EMPTY_CATEGORY = "__empty__"

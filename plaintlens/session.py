@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +32,9 @@ def build_session(cpus: int | str = 8, app: str = "plaintlens", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` when the session names one.
 
-    Only a local session may fall back to a temporary folder; on a cluster a missing setting is
-    an error, because a machine-local folder would not survive the loss of an executor.
+    A session on one machine (master ``local`` or ``local[...]``) may do without and uses its
+    warehouse; anywhere else a missing setting is an error, because a machine-local folder would
+    not survive the loss of an executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -41,15 +42,31 @@ def shared_dir(spark: SparkSession) -> str:
         if current is None:
             spark.sparkContext.setCheckpointDir(named)
         return named or current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plaintlens-"))
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"scratch-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application left in the shared folder; call it when its results are read.
+
+    Frames that still read intermediate tables cannot be used afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark).rstrip('/')}/{_own_folder(spark)}"
+    )
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from plaintlens import schemas as S
 
 
 def _read_csv(spark: SparkSession, path: str) -> DataFrame:
-    # Narratives hold quotes and line breaks. multiLine makes a single file unsplittable, so a
-    # large export should be split into files or converted to Parquet once before use.
-    return (
-        spark.read.option("header", True)
+    """Files below ``path`` with their columns found by header name, in any order a file has.
+
+    Narratives hold quotes and line breaks, and multiLine makes a file unsplittable: one task reads
+    one file. Convert a large export once with :func:`convert_raw_csv` and read that.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        first = spark.read.text(file).head()  # reads the file's first line
+        if first is not None:
+            names = tuple(next(csv.reader([first.value.removeprefix("\ufeff")])))
+            layouts.setdefault(names, []).append(file)
+    frames = [
+        spark.read.schema(StructType([StructField(n, StringType()) for n in names]))
+        .option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
-    )
+        .csv(files)
+        for names, files in layouts.items()
+    ]
+    if not frames:
+        raise ValueError(f"no CSV file with a header below {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def _by_headers(df: DataFrame, headers: dict[str, str]) -> DataFrame:
@@ -32,7 +48,7 @@ def _by_headers(df: DataFrame, headers: dict[str, str]) -> DataFrame:
         if name == "complaint_id":
             value = value.cast("bigint")
         elif name == "date_received":
-            value = F.to_date(value)
+            value = F.try_to_date(value)  # an unreadable date is null, see unreadable_dates
         out.append(value.alias(name))
     return df.select(*out)
 
@@ -42,6 +58,18 @@ def read_raw_complaints(spark: SparkSession, path: str) -> DataFrame:
     return _by_headers(_read_csv(spark, path), S.RAW_HEADERS)
 
 
+def unreadable_dates(spark: SparkSession, path: str) -> DataFrame:
+    """How many date cells of raw CSV files hold something that is no date."""
+    cell = F.col("`Date received`")
+    stated = ~cell.isin(S.MISSING_TEXTS) & F.try_to_date(cell).isNull()
+    return _read_csv(spark, path).agg(F.count_if(stated).alias("unreadable_dates"))
+
+
+def convert_raw_csv(spark: SparkSession, path: str, target: str) -> None:
+    """Raw CSV files -> Parquet, once; later reads split and prune columns."""
+    read_raw_complaints(spark, path).write.mode("overwrite").parquet(target)
+
+
 def read_cleaned_complaints(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
         return _by_headers(_read_csv(spark, path), S.CLEANED_HEADERS)
@@ -108,10 +136,15 @@ def read_runs(spark: SparkSession, results_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{results_dir}/runs")
 
 
-def latest_run(runs: DataFrame) -> DataFrame:
-    """Rows of the newest run. ISO time stamps order as text."""
-    newest = runs.agg(F.max("run_timestamp")).scalar()
-    return runs.filter(F.col("run_timestamp") == newest)
+def newest_stamp(spark: SparkSession, results_dir: str) -> str | None:
+    """Time stamp of the newest saved run, from the history: one short line a run."""
+    return read_history(spark, results_dir).agg(F.max("run_timestamp")).first()[0]
+
+
+def latest_run(spark: SparkSession, results_dir: str) -> DataFrame:
+    """Rows of the newest run; only its folder is read. ISO time stamps order as text."""
+    newest = newest_stamp(spark, results_dir)
+    return read_runs(spark, results_dir).filter(F.col("run_timestamp") == F.lit(newest))
 
 
 def read_history(spark: SparkSession, results_dir: str) -> DataFrame:
@@ -122,9 +155,21 @@ def read_history(spark: SparkSession, results_dir: str) -> DataFrame:
 def open_collection(
     spark: SparkSession, store_dir: str, collection: str, schema: StructType | None = None
 ) -> DataFrame:
-    """A stored collection; a store without rows has no file to infer from and needs ``schema``."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{store_dir}/{collection}")
+    """A stored collection; a store without rows has no file to infer from and needs ``schema``.
+
+    Categories stay the text that was written: "001" is no number, and "" is not null. A filter on
+    them still picks folders.
+    """
+    path = f"{store_dir}/{collection}"
+    schema = schema or spark.read.parquet(path).schema
+    fields = [
+        StructField(f.name, StringType() if f.name == "product_category" else f.dataType)
+        for f in schema.fields
+    ]
+    store = spark.read.schema(StructType(fields)).parquet(path)
+    category = F.col("product_category")
+    category = F.when(category == S.EMPTY_CATEGORY, "").otherwise(category)
+    return store.withColumn("product_category", category)
 
 
 def collection_size(store: DataFrame) -> DataFrame:

@@ -38,7 +38,13 @@ def write_collection(
 
     Files carry a bloom filter on ``id``: fetching the text of a few hits, or looking up ids,
     then skips the row groups that hold none of them.
+
+    With AQE off, use "narrow": nothing then splits a dominant category.
     """
+    category = F.when(F.col("product_category") == "", S.EMPTY_CATEGORY).otherwise(
+        F.col("product_category")
+    )
+    store = store.withColumn("product_category", category)
     path = f"{store_dir}/{collection}"
     if layout == "rebalance":
         store = store.hint("rebalance", "product_category")

@@ -86,24 +86,27 @@ def test_openers_shown(spark):
 def test_sample_store(spark, cleaned, folder):
     m = jobs.build_sample_store(spark, cleaned, folder, sample_size=80).first()
     assert (m.sample_size_requested, m.sample_size_actual) == (80, 80)
-    assert m.category_counts.asDict() == {c: 20 for c in K.VALID_CATEGORIES}
-    assert m.sampled_complaint_ids == sorted(m.sampled_complaint_ids) and len(m.sampled_complaint_ids) == 80
+    assert dict(spark.read.parquet(m.category_counts_path).collect()) == {c: 20 for c in K.VALID_CATEGORIES}
+    ids = [r[0] for r in spark.read.parquet(m.sampled_ids_path).orderBy("complaint_id").collect()]
+    assert len(set(ids)) == m.sample_size_actual
     store = readers.open_collection(spark, folder, "complaints_sample")
     assert readers.collection_size(store).first()[0] == m.num_chunks == store.count()
     assert {len(r.embedding) for r in store.collect()} == {K.EMBEDDING_DIM}
     again = jobs.build_sample_store(spark, cleaned, folder, sample_size=80).first()
-    assert again.sampled_complaint_ids == m.sampled_complaint_ids
+    assert ids == [r[0] for r in spark.read.parquet(again.sampled_ids_path).orderBy("complaint_id").collect()]
     store = readers.open_collection(spark, folder, "complaints_sample")
     assert store.count() == m.num_chunks
     some = store.first().id
     assert [r.id for r in readers.lookup_ids(store, [some]).collect()] == [some]
 
 
-def test_ids_beyond_the_manifest_limit_go_to_the_table(spark, cleaned, folder, monkeypatch):
-    monkeypatch.setattr(jobs, "MAX_IDS_IN_MANIFEST", 10)
-    m = jobs.build_sample_store(spark, cleaned, folder, sample_size=80).first()
-    assert "sampled_complaint_ids" not in m.asDict()
-    assert spark.read.parquet(f"{folder}/complaints_sample_sampled_ids").count() == 80
+def test_any_number_of_ids_and_categories(spark, cleaned, folder):
+    from pyspark.sql import functions as F
+
+    many = cleaned.withColumn("product_category", F.concat(F.lit("c"), "complaint_id"))
+    m = jobs.build_sample_store(spark, many, folder, sample_size=200).first()
+    assert spark.read.parquet(m.category_counts_path).count() == m.sample_size_actual
+    assert not any(isinstance(v, (list, dict, tuple)) for v in m)
 
 
 @pytest.fixture(scope="module")
@@ -121,7 +124,8 @@ def test_full_ingest(spark, source, folder, layout):
     source.repartition(3).write.parquet(path)
     m = jobs.ingest_embeddings(spark, readers.read_embeddings(spark, path), folder, layout=layout).first()
     assert (m.rows_in_source_file, m.rows_ingested, m.final_collection_count) == (500, 500, 500)
-    assert m.category_counts.asDict() == {c: 125 for c in K.VALID_CATEGORIES} and not m.has_duplicate_ids
+    counts = dict(spark.read.parquet(m.category_counts_path).collect())
+    assert counts == {c: 125 for c in K.VALID_CATEGORIES} and not m.has_duplicate_ids
     store = readers.open_collection(spark, folder, "complaints_full")
     want = metadata.flatten_metadata(source)
     assert sorted(store.select(*want.columns).collect()) == sorted(want.collect())

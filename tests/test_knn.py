@@ -49,18 +49,16 @@ def found(df):
     return out
 
 
-@pytest.mark.parametrize("max_bytes", [knn.MAX_QUESTION_BYTES, 0])
-def test_equals_brute_force(data, monkeypatch, max_bytes):
+@pytest.mark.parametrize("max_bytes", [knn.MAX_QUESTION_BYTES, 1_000])
+def test_equals_brute_force(data, max_bytes):
     """Both ways, with ties that go to the smaller id; blocks are small enough to be several."""
-    monkeypatch.setattr(knn, "QUESTIONS_PER_BLOCK", 10)
-    monkeypatch.setattr(knn, "STORED_PER_BLOCK", 90)
     questions, store, q, s = data
     got = found(knn.nearest(q, s, K, max_question_bytes=max_bytes))
     assert got == brute(questions, store, K)
     assert [i for i, _ in got["copy"]] == ["s100", "s101", "s102", "s103"]
 
 
-@pytest.mark.parametrize("max_bytes", [knn.MAX_QUESTION_BYTES, 0])
+@pytest.mark.parametrize("max_bytes", [knn.MAX_QUESTION_BYTES, 1_000])
 def test_category_filter(data, max_bytes):
     questions, store, q, s = data
     filters = {qid: f"c{i % 4}" for i, (qid, _) in enumerate(questions)}  # c3 holds nothing
@@ -71,13 +69,6 @@ def test_category_filter(data, max_bytes):
     assert got == want
 
 
-def test_merged_splits_give_the_same(data, monkeypatch):
-    questions, store, q, s = data
-    monkeypatch.setattr(knn, "MAX_PARTIAL_ROWS", 1)
-    many = s.repartition(40)
-    assert found(knn.nearest(q, many, K)) == brute(questions, store, K)
-
-
 def test_empty_filter_means_all(data):
     questions, store, q, s = data
     q = q.withColumn("filter_category", F.when(F.col("question_id") == "q1", "").otherwise("c1"))
@@ -99,3 +90,21 @@ def test_other_dimensions_never_match(data, spark):
         [("odd", [1.0], "c1")], "id string, embedding array<float>, product_category string"
     )
     assert knn.nearest(q, s.union(odd), K).filter("id = 'odd'").count() == 0
+
+
+def test_each_length_is_searched_on_its_own(data, spark):
+    questions, store, q, s = data
+    schema = "id string, embedding array<float>, product_category string"
+    mixed = s.union(spark.createDataFrame([("one", [1.0], "c1"), ("two", [1.0, 2.0], "c1")], schema))
+    asked = q.union(spark.createDataFrame([("short", [1.0]), ("odd", [1.0] * 3)], q.schema))
+    got = found(knn.nearest(asked, mixed, K))
+    assert got == {**brute(questions, store, K), "short": [("one", 0.0)]}
+    refused = knn.incomparable(asked, mixed).collect()
+    assert [r.question_id for r in refused] == ["odd"] and "has 3 numbers" in refused[0].reject_reason
+    assert knn.incomparable(asked, mixed.filter("false")).count() == 0
+
+
+def test_no_block_shuffles_the_store(data):
+    _, _, q, s = data
+    plan = knn.nearest(q, s, K)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning(question_id") == 1
