@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from plaintlens.plans.queries import QUERIES  # noqa: E402
-from plaintlens.session import build_session  # noqa: E402
+from plaintlens.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINE = [
     "product_counts",
@@ -32,6 +32,7 @@ HEADLINE = [
     "top_values",
     "knn_topk",
     "knn_filtered",
+    "knn_many",
     "text_retrieval",
     "judge_parse",
     "eval_summary",
@@ -52,6 +53,7 @@ def main() -> None:
         # the noop sink computes every row and column without moving them to the driver
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

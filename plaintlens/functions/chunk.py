@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plaintlens.functions.bind import let
 from plaintlens import constants as K
 from plaintlens.functions.text import strip
 
@@ -25,11 +26,6 @@ from plaintlens.functions.text import strip
 _MARK = "\ufdd0"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _overlaps_itself(separator: str) -> bool:
     return any(separator.startswith(separator[i:]) for i in range(1, len(separator)))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plaintlens import constants as K
+from plaintlens.functions.bind import let
 
 # With (?U) ``\s`` and ``\S`` are Unicode white space and its complement, except that the four
 # separators \x1c-\x1f count as white space only by the rule followed here.
@@ -71,12 +72,17 @@ _MAY_OPEN = (
 ).replace(r"\s", WS)
 
 
+def _one_round(text: Column) -> Column:
+    for pattern in K.OPENER_PATTERNS:
+        text = F.regexp_replace(text, "(?iU)" + pattern.replace(r"\s", WS), "")
+    return text
+
+
 def _without_openers(text: Column) -> Column:
-    shortened = text
+    """Each round is run only on texts that may still open that way; most stop before the first."""
     for _ in range(K.OPENER_PASSES):
-        for pattern in K.OPENER_PATTERNS:
-            shortened = F.regexp_replace(shortened, "(?iU)" + pattern.replace(r"\s", WS), "")
-    return F.when(text.rlike(_MAY_OPEN), shortened).otherwise(text)
+        text = let(text, lambda t: F.when(t.rlike(_MAY_OPEN), _one_round(t)).otherwise(t))
+    return text
 
 
 def strip_openers(c: Column) -> Column:

@@ -76,13 +76,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than cores before costly narrow work.
+    """Spread a scan of a few splits before costly narrow work.
 
-    A table of many files already has more splits than cores and passes through untouched, so
-    this adds a shuffle only for inputs small enough to sit in a handful of row groups.
+    Only scans of less than eight splits (a gigabyte at the default split size) are dealt out, on a
+    cluster of any size; all others pass through untouched.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 8) else df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

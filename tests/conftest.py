@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from plaintlens.session import build_session  # noqa: E402
+from plaintlens.session import build_session, clear_scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,6 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session(os.environ.get("TEST_CPUS", "8"), app="tests")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

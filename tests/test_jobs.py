@@ -222,11 +222,12 @@ def test_streamed_ingest_takes_each_file_once(spark, source, folder):
         assert spark.read.parquet(store).count() == expected
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+@pytest.mark.parametrize("name", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_shared_folder_is_required_on_a_cluster(spark, name):
     from plaintlens import session
 
     class Context:
-        master = "yarn"
+        master = name
 
         def getCheckpointDir(self):
             return None
@@ -238,3 +239,16 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster())
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    from plaintlens import session
+
+    path = session.scratch_path(spark, "x")
+    folder = os.path.dirname(path).removeprefix("file:")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(folder)
+    session.clear_scratch(spark)
+    assert not os.path.exists(folder)
