@@ -213,7 +213,9 @@ def find_anchors(keyed: DataFrame, parts: int, sample_share: float, sizes: Sizes
                 "high": at - high,
                 "known": np.zeros(len(at), np.uint8),
             }
-            taken = at[_mixed(core + np.uint64(1)) < limit]
+            # drawn by occurrence, so that a frequent core is drawn as often as it occurs
+            place = records["key"].astype(np.uint64) * np.uint64(_BASE) + records["at"].astype(np.uint64)
+            taken = at[_mixed(core ^ _mixed(place)) < limit]
             return records, [data[a : a + CORE].tobytes() for a in taken]
 
         def merged() -> dict[str, np.ndarray]:
