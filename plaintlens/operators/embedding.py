@@ -76,12 +76,14 @@ def pca_2d(
 ) -> tuple[DataFrame, list[float]]:
     """Project centred vectors on the first components; also the explained variance shares.
 
-    Only the dim x dim covariance reaches the driver. Signs of the components are arbitrary.
+    Only the dim x dim covariance reaches the driver. A component's largest loading is positive.
     """
     vectors = df.withColumn("_v", array_to_vector(F.col(vector_column).cast("array<double>")))
     scaler = StandardScaler(inputCol="_v", outputCol="_centred", withMean=True, withStd=False)
     centred = scaler.fit(vectors).transform(vectors)
     model = PCA(k=k, inputCol="_centred", outputCol="_pc").fit(centred)
     coordinates = model.transform(centred).withColumn("_pc", vector_to_array("_pc"))
-    names = [F.get("_pc", F.lit(i)).alias(f"pc{i + 1}") for i in range(k)]
+    loadings = model.pc.toArray()
+    signs = [1.0 if c[abs(c).argmax()] > 0 else -1.0 for c in loadings.T]
+    names = [(F.get("_pc", F.lit(i)) * signs[i]).alias(f"pc{i + 1}") for i in range(k)]
     return coordinates.select(*df.columns, *names), list(model.explainedVariance.toArray())

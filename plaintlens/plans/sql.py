@@ -632,3 +632,46 @@ FROM (SELECT near.question_id, id, chunked.product_category, distance,
 WHERE rank <= 2""",
 }
 ORACLE_SQL["report_capped"] = ORACLE_SQL["report_rows"] + f" ORDER BY id LIMIT {REPORT_ROWS}"
+
+
+def _eigenvector(matrix: str, name: str, squarings: int = 12) -> str:
+    """CTEs that end in ``name`` (i, x): the unit eigenvector of the largest eigenvalue.
+
+    The matrix is squared again and again, scaled to stay in range: every column turns into the
+    eigenvector. Its largest entry is made positive.
+    """
+    out, last = [], matrix
+    for step in range(squarings):
+        out.append(
+            f"{name}_p{step} AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) AS x "
+            f"FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY a.i, b.j)"
+        )
+        out.append(
+            f"{name}_m{step} AS MATERIALIZED (SELECT i, j, x / (SELECT max(abs(x)) FROM {name}_p{step}) AS x "
+            f"FROM {name}_p{step})"
+        )
+        last = f"{name}_m{step}"
+    out.append(
+        f"{name} AS MATERIALIZED (SELECT i, x * (SELECT sign(arg_max(x, abs(x))) FROM {last} WHERE j = best) "
+        f"/ sqrt((SELECT sum(x * x) FROM {last} WHERE j = best)) AS x "
+        f"FROM {last}, (SELECT arg_max(j, abs(x)) AS best FROM {last}) WHERE j = best)"
+    )
+    return ",\n".join(out)
+
+
+ORACLE_SQL["pca_projection"] = f"""WITH entries AS MATERIALIZED (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x
+  FROM embeddings),
+centred AS MATERIALIZED (
+  SELECT vec_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM entries),
+spread AS MATERIALIZED (
+  SELECT a.i, b.i AS j, sum(a.x * b.x) AS x FROM centred a JOIN centred b USING (vec_id) GROUP BY 1, 2),
+{_eigenvector('spread', 'v1')},
+rest AS MATERIALIZED (
+  SELECT s.i, s.j, s.x - l.x * a.x * b.x AS x
+  FROM spread s JOIN v1 a ON a.i = s.i JOIN v1 b ON b.i = s.j,
+       (SELECT sum(s.x * a.x * b.x) AS x FROM spread s JOIN v1 a ON a.i = s.i JOIN v1 b ON b.i = s.j) l),
+{_eigenvector('rest', 'v2')}
+SELECT vec_id, round(sum(p.x * v1.x), 6) AS pc1, round(sum(p.x * v2.x), 6) AS pc2
+FROM centred p JOIN v1 USING (i) JOIN v2 USING (i)
+GROUP BY vec_id"""
