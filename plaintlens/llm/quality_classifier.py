@@ -17,6 +17,7 @@ empty result; only doc_id, text, source, lang and n_chars are read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from plaintlens.llm.common import byte_slices
 
-TRIGRAMS, SHAPES, CATEGORIES = 2048, 8, 256
-TEXT_WIDTH, META_WIDTH = TRIGRAMS + SHAPES, CATEGORIES + 2
+TRIGRAMS, SHAPES, REPEATS, CATEGORIES = 2048, 8, 3, 256
+TEXT_WIDTH, META_WIDTH = TRIGRAMS + SHAPES + REPEATS, CATEGORIES + 2
 SCORED = "doc_id long, text_score double, metadata_score double, score double, kept boolean"
 
 
@@ -74,7 +75,8 @@ for _i, _set in enumerate(_SHAPE_SETS):
 
 
 def text_features(batch: list[str]) -> np.ndarray:
-    """Square roots of the shares of hashed byte trigrams and of kinds of bytes."""
+    """Square roots of the shares of hashed byte trigrams and of kinds of bytes, and how much the
+    text repeats itself: how far zlib shrinks it, and the evenness of its trigrams."""
     raw = [t.encode() for t in batch]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     data = np.frombuffer(b"".join(raw), np.uint8)
@@ -88,8 +90,15 @@ def text_features(batch: list[str]) -> np.ndarray:
         of[2:][inside] * TRIGRAMS + code[inside], minlength=len(raw) * TRIGRAMS
     )
     parts = [grams.reshape(len(raw), TRIGRAMS), shape.reshape(len(raw), SHAPES)]
-    share = np.concatenate(parts, axis=1) / np.maximum(sizes, 1)[:, None]
-    return np.sqrt(share).astype(np.float32)
+    share = np.sqrt(np.concatenate(parts, axis=1) / np.maximum(sizes, 1)[:, None])
+    shrunk = np.fromiter((len(zlib.compress(r, 1)) for r in raw), float, len(raw))
+    ratio = np.where(sizes > 0, shrunk / np.maximum(sizes, 1), 1.0)
+    squares = share[:, :TRIGRAMS] ** 2
+    evenness = -(squares * np.log(np.maximum(squares, 1e-12))).sum(axis=1)
+    evenness /= np.log(np.minimum(sizes, TRIGRAMS) + 2.0)
+    repeats = np.stack([np.minimum(ratio, 1.5), np.log(np.minimum(ratio, 1.5)), evenness], axis=1)
+    repeats[sizes == 0] = 0
+    return np.concatenate([share, repeats], axis=1).astype(np.float32)
 
 
 def metadata_features(sources: list[str], langs: list[str], n_chars: list[int]) -> np.ndarray:
@@ -129,7 +138,10 @@ class View:
         # what hardly ever varies in the sample must not blow up elsewhere
         self.scale = np.where(self.scale < 1e-3, 1.0, self.scale)
         z = (x - self.mean) / self.scale
-        rate = 4.0 / (np.linalg.norm(z, 2) ** 2 / len(z) + 1.0 + 4 * self.penalty)
+        turn = np.ones(z.shape[1])
+        for _ in range(20):  # power iteration: how steep the loss can be
+            turn = z.T @ (z @ (turn / max(np.linalg.norm(turn), 1e-12))) / len(z)
+        rate = 4.0 / (1.2 * np.linalg.norm(turn) + 1.0 + 4 * self.penalty)
         weights, ahead = np.zeros(z.shape[1] + 1), np.zeros(z.shape[1] + 1)
         for step in range(steps):  # accelerated gradient descent
             error = logistic(z @ ahead[:-1] + ahead[-1]) - y
