@@ -69,16 +69,15 @@ def chosen_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
             F.col("total").alias("more"),
             F.col("depth").alias("deeper"),
         )
-        state = written(
-            state.join(ahead, ["tree", "jump"], "left").select(
-                "tree",
-                "node",
-                F.col("next").alias("jump"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth"),
-            ),
-            "reply-jumps",
+        # nodes that have reached their root are done
+        moved = state.join(ahead, ["tree", "jump"]).select(
+            "tree",
+            "node",
+            F.col("next").alias("jump"),
+            (F.col("total") + F.col("more")).alias("total"),
+            (F.col("depth") + F.col("deeper")).alias("depth"),
         )
+        state = written(state.filter("jump IS NULL").unionByName(moved), "reply-jumps")
     inner = base.select("tree", F.col("parent").alias("node")).filter("node IS NOT NULL")
     best = Window.partitionBy("tree").orderBy(F.col("total").desc(), "node")
     leaves = state.join(inner.distinct(), ["tree", "node"], "left_anti")
