@@ -12,6 +12,7 @@ empty table gives an empty result; other columns of the input are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -85,12 +86,13 @@ def kept_documents(docs: DataFrame) -> DataFrame:
 
     A document is found again by its doc_id; of repeated rows of one doc_id and text one stays.
     """
+    key = f"key_{uuid.uuid4().hex}"  # no column of the input has this name
     verdict = exact_dedup(docs).filter("kept").select(
-        _row_key(F.col("text_sha256"), F.col("doc_id")).alias("__key")
+        _row_key(F.col("text_sha256"), F.col("doc_id")).alias(key)
     )
-    own = docs.withColumn("__key", _row_key(F.sha2(F.coalesce("text", F.lit("")), 256), F.col("doc_id")))
+    own = docs.withColumn(key, _row_key(F.sha2(F.coalesce("text", F.lit("")), 256), F.col("doc_id")))
     # one shuffle of the texts: the second step needs the rows as the join has dealt and sorted them
-    return own.join(verdict, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    return own.join(verdict, key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 def _row_key(sha: Column, doc_id: Column) -> Column:

@@ -8,7 +8,6 @@ duplicates, for nothing tells them apart.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plaintlens.llm import exact_dedup, quality_classifier, suffix_dedup
 from plaintlens.llm.common import read
@@ -28,11 +27,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays, the one with the smallest doc_id."""
-    dropped = simhash_components(docs).filter("doc_id <> component_id").select(
-        F.col("doc_id").alias("__id")
-    )
-    ids = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    return ids.join(dropped, "__id", "left_anti").drop("__id")
+    dropped = simhash_components(docs).filter("doc_id <> component_id").select("doc_id")
+    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,5 +95,30 @@ def test_empty_table(spark):
         assert stage(spark, empty, SMALL).collect() == []
 
 
+def test_odd_rows_and_clashing_names(spark):
+    long = "".join(f"word{i * 7919 % 10007} " for i in range(40_000))
+    rows = [
+        (None, None, None, None, None), (1, "", "en", "a", 0), (2, long, "en", "a", 5), (3, long, None, "b", 5),
+        (4, "a b c", "de", None, None), (4, "a b c", "de", None, None), (5, "a b c", "de", "c", 5), (6, None, "de", "c", 5),
+    ]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = ("key", "kept", "fp", "row", "hash", "recipe", "doc", "component_id", "ranges", "carried", "ids")
+    odd = odd.selectExpr("*", *(f"'{n}' AS {n}" for n in extra))
+    for name, stage in STAGES:
+        rows = stage(spark, odd, SMALL).collect()
+        if name == "packing":
+            assert {r.doc_id for r in rows} == {None, 1, 2, 3, 4, 5, 6}
+            continue
+        assert list(rows[0].asDict()) == odd.columns and all(r.key == "key" for r in rows)
+        ids = sorted((r.doc_id for r in rows), key=str)
+        # by hand: equal texts are (null, 1, 6), (2, 3) and (4, 4, 5); the suffix stage empties 3
+        assert ids == {
+            "quality_classifier": ids,
+            "exact_dedup": [3, 5, 6],
+            "simhash": [1, 2, 4, 4, None],
+            "suffix_dedup": [1, 2, 4, 4, 5, 6, None],
+        }[name], name
+
+
 def test_registered_queries():
     assert {n.split("_")[0] for n in QUERIES} <= {f"op{i}" for i in range(1, 11)}
