@@ -32,7 +32,6 @@ HEADLINE = [
     "top_values",
     "knn_topk",
     "knn_filtered",
-    "knn_many",
     "text_retrieval",
     "judge_parse",
     "eval_summary",
