@@ -28,14 +28,17 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
-    """Cut an Arrow batch into runs of rows with at most ``limit`` bytes in ``column``."""
+def byte_slices(
+    batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Cut an Arrow batch into runs of at most ``rows`` rows and ``limit`` bytes in ``column``."""
     lengths = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        stop = stop if rows is None else min(stop, start + rows)
         yield batch.slice(start, stop - start)
         start = stop
 

@@ -32,6 +32,8 @@ from plaintlens.llm.common import byte_slices
 
 TRIGRAMS, SHAPES, REPEATS, CATEGORIES = 2048, 8, 3, 256
 TEXT_WIDTH, META_WIDTH = TRIGRAMS + SHAPES + REPEATS, CATEGORIES + 2
+#: Bytes and rows whose features a task holds at once.
+SLICE = (2 << 20, 512)
 SCORED = "doc_id long, text_score double, metadata_score double, score double, kept boolean"
 
 
@@ -215,7 +217,7 @@ def sampled(docs: DataFrame, ids: DataFrame, bound: int) -> list:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", *SLICE):
                 text, metadata = features(part)
                 rows = np.concatenate([text, metadata], axis=1).astype(np.float16)
                 yield pa.RecordBatch.from_pydict(
@@ -270,7 +272,7 @@ def quality_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", *SLICE):
                 yield from judged(part)
 
     def judged(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -306,7 +308,7 @@ def kept_documents(
                 "n_chars": pa.array(n_chars, pa.int64()),
             }
         )
-        parts = byte_slices(rows, "text")
+        parts = byte_slices(rows, "text", *SLICE)
         scores = [model.scores(*features(part))[2] for part in parts]
         return pd.Series(np.concatenate([*scores, np.empty(0)]) >= model.threshold)
 
