@@ -214,11 +214,9 @@ def small_buckets(prints: DataFrame, masks: np.ndarray, distance: int) -> DataFr
         rows = written(split.distinct(), "split-buckets")
 
 
-def forest(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int):
-    """Links (fp, fp) that connect what is within ``distance`` inside each bucket.
-
-    Rows come sorted by bucket. At most one link a row.
-    """
+def near_rows(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int):
+    """Positions (a, b) of all pairs within ``distance`` inside each bucket; rows come sorted by
+    bucket."""
     n = len(fp)
     new = np.append(True, (mask[1:] != mask[:-1]) | (value[1:] != value[:-1]))
     first = np.flatnonzero(new)
@@ -231,8 +229,22 @@ def forest(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int):
         found_a.append(near)
         found_b.append(near + step)
         step += 1
-    a, b = np.concatenate([*found_a, []]).astype(int), np.concatenate([*found_b, []]).astype(int)
-    label = np.arange(n)
+    return np.concatenate([*found_a, []]).astype(int), np.concatenate([*found_b, []]).astype(int)
+
+
+def near_pairs(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int):
+    """All pairs (fp, fp) within ``distance`` inside each bucket, the smaller number first."""
+    a, b = near_rows(mask, value, fp, distance)
+    return np.minimum(fp[a], fp[b]), np.maximum(fp[a], fp[b])
+
+
+def forest(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int):
+    """Links (fp, fp) that connect what is within ``distance`` inside each bucket.
+
+    Rows come sorted by bucket. At most one link a row.
+    """
+    a, b = near_rows(mask, value, fp, distance)
+    label = np.arange(len(fp))
     while len(a):
         low = np.minimum(label[a], label[b])
         np.minimum.at(label, label[a], low)
@@ -240,7 +252,7 @@ def forest(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, distance: int):
         label = label[label]
         if (label[a] == label[b]).all():
             break
-    moved = np.flatnonzero(label != np.arange(n))
+    moved = np.flatnonzero(label != np.arange(len(fp)))
     return fp[moved], fp[label[moved]]
 
 
@@ -248,7 +260,20 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     """(a, b): links that connect what is within ``distance`` among different fingerprints."""
     rows, both = bit_statistics(prints)
     masks = masks_of(*allocation(rows, both, distance))
-    buckets = small_buckets(prints, masks, distance)
+    return linked(small_buckets(prints, masks, distance), distance, forest)
+
+
+def all_pairs(prints: DataFrame, distance: int) -> DataFrame:
+    """(a, b): every pair within ``distance`` among different fingerprints, once. Buckets stay
+    whole: at wide distances splitting multiplies the rows more than it saves comparisons."""
+    rows, both = bit_statistics(prints)
+    masks = [int(m) for m in masks_of(*allocation(rows, both, distance))]
+    zero = prints.withColumn("mask", F.lit(0).cast("long"))
+    return linked(in_buckets(zero, lambda _: masks), distance, near_pairs).distinct()
+
+
+def linked(buckets: DataFrame, distance: int, find: Callable) -> DataFrame:
+    """(a, b): what ``find`` gives for the whole buckets of each task."""
     dealt = buckets.repartition("mask", "value").sortWithinPartitions("mask", "value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +281,7 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
 
         def emit(columns):
             mask, value, fp = columns
-            a, b = forest(mask, value, fp.view(np.uint64), distance)
+            a, b = find(mask, value, fp.view(np.uint64), distance)
             return pa.RecordBatch.from_pydict({"a": a.view(np.int64), "b": b.view(np.int64)})
 
         for batch in batches:

@@ -8,11 +8,12 @@ duplicates, for nothing tells them apart.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plaintlens.llm import exact_dedup, quality_classifier, suffix_dedup
-from plaintlens.llm.common import read
+from plaintlens.llm.common import read, written
+from plaintlens.llm.near_dedup import near_components, text_id
 from plaintlens.llm.packing import pack_digests
-from plaintlens.llm.simhash import simhash_components
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +27,12 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest doc_id."""
-    dropped = simhash_components(docs).filter("doc_id <> component_id").select("doc_id")
+    """Of documents that five-word Jaccard similarity of 0.8 or more links, the one with the
+    smallest doc_id stays."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id().alias("text_id"))
+    rooted = written(own.join(near_components(docs), "text_id"), "near-rooted")
+    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    dropped = rooted.join(smallest, "root").filter("doc_id <> component_id").select("doc_id")
     return docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
 
 
