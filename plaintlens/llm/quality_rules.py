@@ -2,7 +2,8 @@
 
 A text passes the bands when its compression ratio (compressed bytes / bytes) as a whole, and the
 ratios of its fixed chunks, stay inside limits that depend on its length. Repetitive text shrinks
-too well, noise does not shrink.
+too well, noise does not shrink. Texts under 4,096 bytes have chunks of 512 bytes; where whole
+chunks leave a rest, one more chunk ends at the end of the text.
 
 Defined cases: null text has no words and fails the base rule; texts too short for a band are
 judged by the base rule alone; rows are judged one by one, so ties and repeated rows change
@@ -34,12 +35,18 @@ SCHEMA = (
 @dataclass(frozen=True)
 class Bands:
     """(at least so many bytes, lowest ratio, highest ratio) in rising order of bytes; the last
-    entry that a text reaches holds. Chunks have limits of their own, and a text fails when more
-    than ``chunk_share`` of its whole chunks lie outside them."""
-
-    whole: tuple = ((200, 0.08, 1.00), (1_000, 0.08, 0.85), (10_000, 0.06, 0.68), (100_000, 0.05, 0.62))
+    entry that a text reaches holds. The highest ratios lie between prose and base64. Chunks have
+    limits of their own for each size, and a text fails when more than ``chunk_share`` of its
+    chunks lie outside them."""
+
+    whole: tuple = (
+        (200, 0.08, 0.90), (300, 0.08, 0.80), (400, 0.08, 0.78), (512, 0.08, 0.76), (1_000, 0.08, 0.72),
+        (2_000, 0.08, 0.70), (10_000, 0.06, 0.68), (100_000, 0.05, 0.62),
+    )
     chunk_bytes: int = 4_096
     chunk: tuple = (0.08, 0.72)
+    short_bytes: int = 512  # chunks of texts that are shorter than one of chunk_bytes
+    short: tuple = (0.08, 0.78)
     chunk_share: float = 0.25
     level: int = 3
 
@@ -89,11 +96,14 @@ def judge(text: str, bands: Bands, zstd: zstandard.ZstdCompressor) -> tuple:
     n_repeat = repeat_words(words, {})
     failed = n_words < 20 or 100 * n_repeat > 30 * n_words
     ratio = len(zstd.compress(raw)) / len(raw) if raw else None
-    size = bands.chunk_bytes
-    whole_chunks = [raw[i : i + size] for i in range(0, len(raw) - size + 1, size)]
-    shares = [len(zstd.compress(c)) / size for c in whole_chunks]
-    low = sum(x < bands.chunk[0] for x in shares)
-    high = sum(x > bands.chunk[1] for x in shares)
+    short = len(raw) < bands.chunk_bytes
+    size, limits = (bands.short_bytes, bands.short) if short else (bands.chunk_bytes, bands.chunk)
+    chunks = [raw[i : i + size] for i in range(0, len(raw) - size + 1, size)]
+    if chunks and len(raw) % size:
+        chunks.append(raw[-size:])
+    shares = [len(zstd.compress(c)) / size for c in chunks]
+    low = sum(x < limits[0] for x in shares)
+    high = sum(x > limits[1] for x in shares)
     band = band_of(bands, len(raw))
     reason = None
     if failed:

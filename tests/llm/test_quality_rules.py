@@ -72,3 +72,19 @@ def test_chunk_limits(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_noise_at_the_end_and_in_short_texts(spark):
+    def base64(n):
+        rng = random.Random(n)
+        raw = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(n))
+        return "\n".join(raw[i : i + 60] for i in range(0, n, 60))[:n]
+
+    rng = random.Random(6)
+    words = [noise(rng.randint(2, 8), i).replace(" ", "").lower() for i in range(300)]
+    clean = " ".join(rng.choice(words) for _ in range(3000))
+    texts = [clean[:4096] + base64(4000), clean[:2000] + base64(2000)]
+    texts += [base64(n) for n in (2000, 4000, 4096)] + ["a b c d e f g h i j k l m n o p q r s t " + base64(n) for n in (500, 1000)]
+    rows = run(spark, texts + [clean[:n] for n in (1000, 3000, 4095, 4097, 9000)])
+    assert [rows[i].base_failed for i in range(len(rows))] == [False] * len(rows)
+    assert [rows[i].kept for i in range(len(rows))] == [False] * len(texts) + [True] * 5
