@@ -47,8 +47,10 @@ class CoTraining:
     rounds: int = 3
     sure: float = 0.95  # confidence from which a pseudo-label is handed on
     per_round: int = 200  # pseudo-labels of each class that a view hands on in a round
-    keep_good: float = 0.998  # share of good held-out documents that the threshold must keep
-    threshold: float = 0.5  # score under which a document goes, if that share allows
+    keep_good: float = 0.998  # share of good held-out documents that the threshold should keep
+    outliers: int = 2  # lowest good held-out documents that do not count, at any size
+    reject_bad: float = 0.98  # share of bad held-out documents down to which that may go
+    threshold: float = 0.5  # score under which a document goes, if those shares allow
 
 
 def _view(name: str) -> Column:
@@ -204,14 +206,24 @@ def co_train(labelled, y: np.ndarray, held_out, y_held: np.ndarray, pool, settin
         View(1e-3).fit(f.odds(v)[:, None], y_held) for f, v in zip(fitted, held_out)
     ]
     model = CoTrained(*fitted, *curves, prior=float(np.clip(y_held.mean(), 0.01, 0.99)))
-    good = np.sort(model.scores(*held_out)[2][y_held == 1])
-    model.threshold = settings.threshold
-    if len(good):
-        allowed = int((1 - settings.keep_good) * len(good))
-        model.threshold = min(settings.threshold, float(good[allowed]))
+    score = model.scores(*held_out)[2]
+    model.threshold = chosen_threshold(score[y_held == 1], score[y_held == 0], settings)
     return model
 
 
+def chosen_threshold(good: np.ndarray, bad: np.ndarray, settings: CoTraining) -> float:
+    """The settings' threshold, or a lower one that keeps the share of good documents wanted; never
+    so low that less than the share of bad ones goes."""
+    lowest = settings.threshold
+    if len(good):
+        allowed = int((1 - settings.keep_good) * len(good)) + settings.outliers
+        lowest = float(np.sort(good)[min(allowed, len(good) - 1)])
+    if len(bad):
+        last = np.sort(bad)[int(np.ceil(settings.reject_bad * len(bad))) - 1]
+        lowest = max(lowest, float(np.nextafter(last, np.inf)))
+    return min(settings.threshold, lowest)
+
+
 def sampled(docs: DataFrame, ids: DataFrame, bound: int) -> list:
     """Features of the documents in ``ids`` (doc_id, quality), which has ``bound`` rows at most."""
 

@@ -97,3 +97,20 @@ def test_features_and_regression():
 def test_sample_is_bounded(spark):
     docs, labels = frames(spark, corpus(400))
     assert fit(docs, labels, CoTraining(labelled=40, held_out=30, pool=10)) is not None
+
+
+@pytest.mark.parametrize("n", [110, 1500])
+@pytest.mark.parametrize("wrong", [1, 3, 6])
+def test_a_few_wrong_good_labels_let_no_junk_through(n, wrong):
+    rng = np.random.default_rng(3)
+
+    def part(rows):
+        y = (rng.random(rows) < 0.7).astype(int)
+        return tuple((y * 2 - 1)[:, None] + rng.normal(size=(rows, 8)) for _ in range(2)), y
+
+    (train, y), (held, y_held), (unseen, y_unseen) = part(600), part(n), part(2000)
+    for view in held:  # good labels on the most junk-like texts
+        view[np.flatnonzero(y_held == 1)[:wrong]] = -2.5
+    model = co_train(train, y, held, y_held, tuple(v[:0] for v in train), CoTraining())
+    kept = model.scores(*unseen)[2] >= model.threshold
+    assert kept[y_unseen == 0].mean() < 0.1 and kept[y_unseen == 1].mean() > 0.95
