@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plaintlens.llm.bpe_codec import round_trip
 from plaintlens.llm.chat_format import conversation_digests, with_probe
 from plaintlens.llm.common import read
+from plaintlens.llm.decontamination import decontaminate
 from plaintlens.llm.exact_dedup import exact_dedup
 from plaintlens.llm.html_text import extract_text
 from plaintlens.llm.packing import pack_digests
@@ -66,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -77,4 +82,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
+    "op13_decontamination": op13_decontamination,
 }

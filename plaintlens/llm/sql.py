@@ -34,4 +34,42 @@ ORACLE_SQL = {
                sha256(loss) AS loss_sha256, cast(formatted_chars AS BIGINT) AS formatted_chars
         FROM found
     """,
+    "op13_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ),
+        bs AS (SELECT item_id, w, least(len(w), 10) AS l FROM b WHERE len(w) > 0),
+        bw AS (
+            SELECT DISTINCT item_id, l, array_to_string(w[s:s + l - 1], ' ') AS win
+            FROM (SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM bs)
+        ),
+        dw AS (
+            SELECT doc_id, p, l, array_to_string(w[p:p + l - 1], ' ') AS win
+            FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS p
+                  FROM d, (SELECT DISTINCT l FROM bw))
+        ),
+        hits AS (SELECT dw.doc_id, dw.p, dw.l, bw.item_id FROM dw JOIN bw USING (l, win)),
+        words_hit AS (
+            SELECT doc_id, count(DISTINCT x) AS n_hit
+            FROM (SELECT doc_id, unnest(range(p, p + l)) AS x FROM hits) GROUP BY doc_id
+        ),
+        items AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM hits GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
 }
