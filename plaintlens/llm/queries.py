@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plaintlens.llm.bpe_codec import round_trip
 from plaintlens.llm.chat_format import conversation_digests, with_probe
+from plaintlens.llm.alignment import align
 from plaintlens.llm.common import read
 from plaintlens.llm.decontamination import decontaminate
 from plaintlens.llm.exact_dedup import exact_dedup
@@ -13,6 +14,7 @@ from plaintlens.llm.html_text import extract_text
 from plaintlens.llm.packing import pack_digests
 from plaintlens.llm.quality_classifier import quality_scores
 from plaintlens.llm.quality_rules import quality_rules
+from plaintlens.llm.resampling import resample
 from plaintlens.llm.simhash import simhash_components
 from plaintlens.llm.suffix_dedup import suffix_dedup
 from plaintlens.llm.token_counts import token_counts
@@ -67,6 +69,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -82,5 +98,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
+    "op11_alignment": op11_alignment,
+    "op12_resampling": op12_resampling,
     "op13_decontamination": op13_decontamination,
 }
