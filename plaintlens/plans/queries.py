@@ -25,6 +25,7 @@ from plaintlens.operators import (
     inference,
     knn,
     metadata,
+    normalize,
     profile,
     retrieval,
     sampling,
@@ -875,6 +876,30 @@ def chunk_stats(spark, d):
     )
 
 
+def derived_lexicon(docs: DataFrame) -> DataFrame:
+    """A lexicon of every surface the documents make by two rules, plus the seed: each word of
+    four or more letters gives (word + "s", n, word) and (word + "ing", v, word)."""
+    spark = docs.sparkSession
+    words = (
+        docs.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+")).alias("w"))
+        .where(F.length("w") > 3)
+        .distinct()
+    )
+    seed = spark.createDataFrame(T.seed_lexicon(), "surface string, pos string, lemma string")
+    return (
+        words.select(F.concat("w", F.lit("s")).alias("surface"), F.lit("n").alias("pos"), F.col("w").alias("lemma"))
+        .unionByName(words.select(F.concat("w", F.lit("ing")).alias("surface"), F.lit("v").alias("pos"), F.col("w").alias("lemma")))
+        .unionByName(seed)
+    )
+
+
+def lexicon_normalize(spark, d):
+    """Every document normalised with a lexicon table derived from all documents."""
+    docs = _table(spark, d, "documents")
+    letters = docs.select("doc_id", F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z ]", " ")).alias("text"))
+    return normalize.normalize_with_lexicon(letters, "text", derived_lexicon(docs)).select("doc_id", "normalized")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -892,5 +917,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dataset_profile, question_source, pca_projection, ingest_manifest, ingest_limited,
         stored_categories, stored_filtered_search, knn_many, failed_questions, id_lookup,
         folder_scan, raw_csv_scan, report_capped, unanswered_rate, filtered_retrieval,
+        lexicon_normalize,
     ]
 }
