@@ -138,7 +138,11 @@ def estimated_cost(rows: int, agree: np.ndarray, t: int) -> float:
 def allocation(
     rows: int, both: np.ndarray, distance: int
 ) -> tuple[list[list[int]], list[int]]:
-    """(partitions of bits, threshold of each); a threshold of -1 leaves a partition out."""
+    """(partitions of bits, threshold of each); a threshold of -1 leaves a partition out.
+
+    Without a row nothing is linked and no mask is needed (every plan would cost nothing)."""
+    if rows == 0:
+        return [], []
     p = np.diag(both) / max(rows, 1)
     agree = p * p + (1 - p) * (1 - p)
     best = None

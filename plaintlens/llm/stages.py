@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from plaintlens.llm import exact_dedup, quality_classifier, suffix_dedup
 from plaintlens.llm.common import read, written
-from plaintlens.llm.near_dedup import near_components, text_id
 from plaintlens.llm.packing import pack_digests
+from plaintlens.llm.simhash import simhash_components
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,13 +27,26 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that five-word Jaccard similarity of 0.8 or more links, the one with the
-    smallest doc_id stays."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id().alias("text_id"))
-    rooted = written(own.join(near_components(docs), "text_id"), "near-rooted")
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    dropped = rooted.join(smallest, "root").filter("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
+    """SimHash near duplicates by the operator of op2 with its contract (3-word shingles, at most
+    3 differing bits, linked transitively): of each component the rows with its smallest doc_id
+    stay (repeated rows of that doc_id all stay, they are one document); rows without a doc_id
+    always stay.
+
+    Rows get a key once (written), the operator links those keys, and rows are kept or dropped by
+    key. The choice per component is a grouping with map-side partial minima, and rows meet it
+    on (component, doc_id), so one component holding a third of all rows lands in no single
+    task. Empty input: empty output.
+    """
+    row, comp = "__near_row", "__near_component"
+    keyed = written(docs.withColumn(row, F.monotonically_increasing_id()), "near-keyed")
+    linked = simhash_components(keyed.select(F.col(row).alias("doc_id"), F.col("text")))
+    owners = linked.select(F.col("doc_id").alias(row), F.col("component_id").alias(comp)).join(
+        keyed.select(row, F.col("doc_id").cast("long").alias("id")), row
+    )
+    smallest = owners.where(F.col("id").isNotNull()).groupBy(comp).agg(F.min("id").alias("id"))
+    chosen = owners.join(smallest, [comp, "id"], "left_semi").select(row)
+    named = keyed.join(chosen, row, "left_semi").where(F.col("doc_id").isNotNull())
+    return named.unionByName(keyed.where(F.col("doc_id").isNull())).drop(row)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,4 +121,4 @@ def test_odd_rows_and_clashing_names(spark):
 
 
 def test_registered_queries():
-    assert {n.split("_")[0] for n in QUERIES} <= {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} <= {f"op{i}" for i in range(1, 14)}
