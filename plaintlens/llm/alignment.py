@@ -36,6 +36,8 @@ from plaintlens.llm.common import byte_slices, written
 
 #: Bytes of one fragment's range.
 CHUNK_BYTES = 64 << 10
+#: Text a task encodes at once: the libraries' encodings take far more memory than the text.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
 #: Link count rows broadcast up to this many (counted first); beyond, a shuffle join.
 BROADCAST_ROWS = 4_000_000
 
@@ -127,10 +129,15 @@ def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTE
     """Per row and range: row, doc_id, n_a, n_b, valid, k (range number), n_k (ranges), frag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        # one thread a task: Spark runs the tasks side by side already, and each thread of the
+        # library would hold its own buffers
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tok_a, bytes_a = a_table(a_path)
         sp, bytes_b = b_table(b_path)
         for batch in batches:
-            for part in byte_slices(batch, "text", limit=4 << 20, rows=2048):
+            for part in byte_slices(batch, "text", limit=SLICE_BYTES, rows=SLICE_ROWS):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 enc_a = tok_a.encode_batch([" " + t for t in texts], add_special_tokens=False)
                 enc_b = sp.encode(texts)
