@@ -42,8 +42,7 @@ SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
 BROADCAST_ROWS = 4_000_000
 
 FRAGMENT = (
-    "cut boolean, ha array<long>, hb array<long>, body string, links array<struct<a: long, b: long>>, "
-    "ta array<long>, tb array<long>"
+    "cut boolean, ha array<long>, hb array<long>, body string, ta array<long>, tb array<long>"
 )
 
 
@@ -164,7 +163,8 @@ def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTE
                         cols["valid"].append(valid)
                         cols["k"].append(k)
                         cols["n_k"].append(len(frags))
-                        cols["frag"].append(frag)
+                        # links are the last ids of closed groups: read back from them at the end
+                        cols["frag"].append({k: v for k, v in frag.items() if k != "links"})
                 yield pa.RecordBatch.from_pydict(cols, schema=_SCHEMA)
 
     return docs.mapInArrow(run, f"row long, doc_id long, n_a long, n_b long, valid boolean, k int, n_k int, frag struct<{FRAGMENT}>")
@@ -188,7 +188,6 @@ _SCHEMA = pa.schema(
                     ("ha", _LONGS),
                     ("hb", _LONGS),
                     ("body", pa.string()),
-                    ("links", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
                     ("ta", _LONGS),
                     ("tb", _LONGS),
                 ]
@@ -202,6 +201,22 @@ def _group_sql(a: Column, b: Column) -> Column:
     return F.concat(F.array_join(a, ","), F.lit("|"), F.array_join(b, ","))
 
 
+def _links(frag: Column) -> Column:
+    """(a, b) of every closed group of a fragment: the head when cut, then each body group."""
+    pair = "array<struct<a: long, b: long>>"
+    head = F.when(
+        frag["cut"],
+        F.array(F.struct(F.try_element_at(frag["ha"], F.lit(-1)).alias("a"), F.try_element_at(frag["hb"], F.lit(-1)).alias("b"))),
+    ).otherwise(F.array().cast(pair))
+    groups = F.when(frag["body"] != "", F.split(frag["body"], ";")).otherwise(F.array().cast("array<string>"))
+
+    def last(g: Column, side: int) -> Column:
+        return F.try_element_at(F.split(F.split(g, r"\|")[side], ","), F.lit(-1)).cast("long")
+
+    body = F.transform(groups, lambda g: F.struct(last(g, 0).alias("a"), last(g, 1).alias("b")))
+    return F.concat(head, body).cast(pair)
+
+
 def compose(left: Column, right: Column) -> Column:
     """The fragment of two adjacent ranges; associative."""
     joined_body = F.concat_ws(
@@ -212,19 +227,19 @@ def compose(left: Column, right: Column) -> Column:
     )
     both = F.struct(
         F.lit(True).alias("cut"), left["ha"].alias("ha"), left["hb"].alias("hb"), joined_body.alias("body"),
-        F.concat(left["links"], right["links"]).alias("links"), right["ta"].alias("ta"), right["tb"].alias("tb"),
+        right["ta"].alias("ta"), right["tb"].alias("tb"),
     )
     right_only = F.struct(
         F.lit(True).alias("cut"), F.concat(left["ha"], right["ha"]).alias("ha"), F.concat(left["hb"], right["hb"]).alias("hb"),
-        right["body"].alias("body"), right["links"].alias("links"), right["ta"].alias("ta"), right["tb"].alias("tb"),
+        right["body"].alias("body"), right["ta"].alias("ta"), right["tb"].alias("tb"),
     )
     left_only = F.struct(
         F.lit(True).alias("cut"), left["ha"].alias("ha"), left["hb"].alias("hb"), left["body"].alias("body"),
-        left["links"].alias("links"), F.concat(left["ta"], right["ha"]).alias("ta"), F.concat(left["tb"], right["hb"]).alias("tb"),
+        F.concat(left["ta"], right["ha"]).alias("ta"), F.concat(left["tb"], right["hb"]).alias("tb"),
     )
     neither = F.struct(
         F.lit(False).alias("cut"), F.concat(left["ha"], right["ha"]).alias("ha"), F.concat(left["hb"], right["hb"]).alias("hb"),
-        F.lit("").alias("body"), left["links"].alias("links"), left["ta"].alias("ta"), left["tb"].alias("tb"),
+        F.lit("").alias("body"), left["ta"].alias("ta"), left["tb"].alias("tb"),
     )
     return (
         F.when(left["cut"] & right["cut"], both)
@@ -265,9 +280,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -
         F.monotonically_increasing_id().alias("row"),
     )
     frags = written(tokenized(rows, a_path, b_path, chunk), "alignment-fragments")
-    whole = written(merged(frags), "alignment-whole")
+    # single ranges and the last round are written tables already: their union is read, not copied
+    whole = merged(frags).withColumn("links", _links(F.col("frag")))
 
-    links = whole.select("row", F.explode("frag.links").alias("l")).select("row", F.col("l.a").alias("a"), F.col("l.b").alias("b"))
+    links = whole.select("row", F.explode("links").alias("l")).select("row", F.col("l.a").alias("a"), F.col("l.b").alias("b"))
     counts = links.groupBy("a", "b").agg(F.count("*").alias("count"))
     counts = written(counts, "alignment-counts")
     best = counts.groupBy("b").agg(F.max("count").alias("top"))
@@ -285,8 +301,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -
         "doc_id",
         F.col("n_a").cast("long").alias("n_a"),
         F.col("n_b").cast("long").alias("n_b"),
-        F.size("frag.links").cast("long").alias("n_groups"),
-        F.size("frag.links").cast("long").alias("n_links"),
+        F.size("links").cast("long").alias("n_groups"),
+        F.size("links").cast("long").alias("n_links"),
         F.coalesce("n_best", F.lit(0)).cast("long").alias("n_best"),
         F.coalesce("count_sum", F.lit(0)).cast("long").alias("count_sum"),
         F.when(F.col("valid"), F.sha2(text, 256)).otherwise(F.lit("")).alias("groups_sha256"),
