@@ -31,6 +31,7 @@ from plaintlens.operators import (
     sampling,
 )
 from plaintlens.operators.embedding import embed_with, hash_embed, pca_2d
+from plaintlens.operators.knn_pruned import knn_pruned as knn_pruned_search
 from plaintlens.plans import jobs
 from plaintlens.session import scratch_path, spread
 from plaintlens.sources import readers, writers
@@ -511,6 +512,15 @@ def knn_filtered(spark, d):
     return _shown(knn.nearest(questions, vector_store(spark, d), 5))
 
 
+def knn_pruned(spark, d):
+    """Every vector whose id is a multiple of 20 asks for its 5 nearest, clusters pruned."""
+    store = vector_store(spark, d)
+    questions = store.where(F.col("id").cast("bigint") % 20 == 0).select(
+        F.col("id").alias("question_id"), "embedding"
+    )
+    return _shown(knn_pruned_search(questions, store, 5))
+
+
 def _shown(found):
     return found.select("question_id", "rank", "id", F.round("distance", 6).alias("distance"))
 
@@ -917,6 +927,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dataset_profile, question_source, pca_projection, ingest_manifest, ingest_limited,
         stored_categories, stored_filtered_search, knn_many, failed_questions, id_lookup,
         folder_scan, raw_csv_scan, report_capped, unanswered_rate, filtered_retrieval,
-        lexicon_normalize,
+        lexicon_normalize, knn_pruned,
     ]
 }

@@ -487,6 +487,16 @@ FROM documents ORDER BY doc_id LIMIT 5""",
     "knn_topk": f"""WITH {_VECTORS}
 SELECT question_id, CAST(rank AS INTEGER) AS rank, id, round(greatest(distance, 0.0), 6) AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY greatest(distance, 0.0), id) AS rank FROM near)
+WHERE rank <= 5""",
+    "knn_pruned": """WITH vectors AS (
+  SELECT CAST(vec_id AS VARCHAR) AS id, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+near AS (
+  SELECT a.id AS question_id, b.id,
+         round(list_inner_product(a.v, a.v) + list_inner_product(b.v, b.v)
+               - 2 * list_inner_product(a.v, b.v), 9) AS distance
+  FROM (SELECT * FROM vectors WHERE vec_id % 20 = 0) a CROSS JOIN vectors b)
+SELECT question_id, CAST(rank AS INTEGER) AS rank, id, round(greatest(distance, 0.0), 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY greatest(distance, 0.0), id) AS rank FROM near)
 WHERE rank <= 5""",
     "knn_filtered": f"""WITH {_VECTORS}
 SELECT question_id, CAST(rank AS INTEGER) AS rank, id, round(greatest(distance, 0.0), 6) AS distance FROM (
