@@ -21,7 +21,7 @@ from plaintlens.operators import (
 )
 from plaintlens.operators.embedding import hash_embed
 from plaintlens.operators.retrieval import check_questions, retrieve
-from plaintlens.session import cut_lineage, scratch_path
+from plaintlens.session import cut_lineage, first_rows, scratch_path
 from plaintlens.sources import readers, writers
 
 Embedder = Callable[[DataFrame], DataFrame]
@@ -120,14 +120,20 @@ def ingest_embeddings(
     """Pre-embedded table -> store without embedding again; returns the one-row manifest."""
     started = datetime.now(timezone.utc)
     counts_path = f"{output_dir}/{collection}_category_counts"
-    taken = source if limit_rows is None else source.limit(limit_rows)
+    taken, n_source = source, F.lit(None)
+    if limit_rows is not None:
+        if limit_rows < 0:
+            raise ValueError("limit_rows must not be negative")
+        total = source.count()
+        n_source = F.lit(total)
+        if limit_rows < total:
+            taken = first_rows(source, limit_rows)
     flat = metadata.flatten_metadata(taken)
     writers.write_collection(flat, output_dir, collection, layout)
     # what follows reads the store's ids and categories, never the source again
     store = readers.open_collection(spark, output_dir, collection, flat.schema)
     category = F.coalesce("product_category", F.lit("")).alias("product_category")
     counts = _counted(store.groupBy(category).count(), counts_path)
-    n_source = F.lit(None) if limit_rows is None else source.agg(F.count(F.lit(1))).scalar()
     n_ids = store.agg(F.countDistinct("id")).scalar()
     ingested = F.coalesce(F.sum("count"), F.lit(0)).alias("rows_ingested")
     manifest = counts.agg(ingested).select(

@@ -6,6 +6,7 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -75,6 +76,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: later steps never recompute it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """Exactly ``n`` rows of ``df`` (all, if it has fewer), no rows brought together in one task.
+
+    Each task writes at most its first ``n`` rows, numbered; the tasks' row counts, summed in task
+    order, tell how many of each belong to the result. The counts (one row a task) are all
+    that meets in one place.
+    """
+    at, task = F.col("__first_at"), F.shiftright("__first_at", 33)
+    within = at.bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = written(
+        df.withColumn("__first_at", F.monotonically_increasing_id()).filter(within < n), "first-rows"
+    )
+    sizes = numbered.groupBy(task.alias("__first_task")).agg(F.count(F.lit(1)).alias("__first_n"))
+    before = W.orderBy("__first_task").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(
+        "__first_task", F.coalesce(F.sum("__first_n").over(before), F.lit(0)).alias("__first_start")
+    )
+    return (
+        numbered.join(F.broadcast(starts), task == F.col("__first_task"))
+        .filter(F.col("__first_start") + within < n)
+        .drop("__first_at", "__first_task", "__first_start")
+    )
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan of a few splits before costly narrow work.
 

@@ -1,4 +1,5 @@
 import json
+import os
 import sys
 import tempfile
 
@@ -10,6 +11,7 @@ from plaintlens import constants as K
 from plaintlens import schemas as S
 from plaintlens.operators import complaints, metadata
 from plaintlens.plans import jobs
+from plaintlens.session import first_rows
 from plaintlens.sources import readers, writers
 from plaintlens.streaming.ingest import ingest_available
 
@@ -138,6 +140,25 @@ def test_limited_ingest_replaces_the_store(spark, source, folder):
         assert (m.rows_ingested, m.limit_rows, m.rows_in_source_file) == (limit, limit, 500)
 
 
+def test_limited_ingest_is_spread(spark, source, folder):
+    """No single task takes the rows of a limit: the tasks that read them write them."""
+    source.repartition(5).write.parquet(f"{folder}/source")
+    read = readers.read_embeddings(spark, f"{folder}/source").repartition(5)
+    for limit in (499, 500, 10**9):
+        jobs.ingest_embeddings(spark, read, folder, limit_rows=limit, layout="narrow")
+        store = readers.open_collection(spark, folder, "complaints_full")
+        assert store.count() == min(limit, 500) and store.select("id").distinct().count() == min(limit, 500)
+        tasks = {os.path.basename(f).split("-")[1] for f in store.inputFiles()}
+        assert len(tasks) > 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 99, 100, 101, 10**12])
+def test_first_rows_are_exactly_so_many(spark, n):
+    rows = spark.range(0, 100, 1, 6).where("id % 10 < 9 or id > 50").withColumnRenamed("id", "x")
+    got = [r.x for r in first_rows(rows, n).collect()]
+    assert len(got) == min(n, rows.count()) == len(set(got))
+
+
 def test_profile_reads_no_data(spark, source, folder):
     source.repartition(3).write.parquet(f"{folder}/p")
     df = readers.read_embeddings(spark, f"{folder}/p")
