@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plaintlens import constants as K
 from plaintlens.functions import text as T
-from plaintlens.session import broadcast_if_small
+from plaintlens.session import broadcast_if_small, written
 
-#: Entries of one lookup map; a larger lexicon is dealt by hash into that many maps, one a pass.
-PASS_ENTRIES = 1_000_000
+#: Entries that change a word of the texts, broadcast up to this many; beyond, a shuffle join.
+PASS_ENTRIES = 300_000
 
 # A lexicon of up to this many entries travels inside the plan and needs no join.
 MAX_LITERAL_ENTRIES = 20_000
@@ -82,61 +83,59 @@ def normalize_with_table(
     )
 
 
+def _replaced(pairs: pd.DataFrame) -> pd.Series:
+    """Each row's tokens with its own (token, lemma) pairs applied, space-joined."""
+    out = []
+    for tokens, surfaces, lemmas in zip(pairs["tokens"], pairs["surfaces"], pairs["lemmas"]):
+        lemma_of = {} if surfaces is None else dict(zip(surfaces, lemmas))
+        out.append(" ".join([lemma_of.get(t, t) for t in tokens]))
+    return pd.Series(out, dtype=object)
+
+
 def normalize_with_lexicon(
     df: DataFrame, text_column: str, lexicon: DataFrame, out: str = "normalized", pass_entries: int = PASS_ENTRIES
 ) -> DataFrame:
     """Normalise cleaned text with a lexicon table of any size: the same rows as
     ``T.normalize(text, entries)`` with all entries held in the plan, for every row.
 
-    The lexicon (surface, pos, lemma) is first resolved to one final lemma a surface (smallest
-    lemma per surface and part of speech, verb entry then noun entry, as the literal form). Its
-    entries are counted and dealt by a hash of the surface into ``ceil(n / pass_entries)``
-    buckets; each bucket becomes one map in one row, broadcast to every task (a row of at most
-    about ``pass_entries`` entries), and a pass replaces the tokens of that bucket. Texts are
-    never shuffled or joined by id: null, repeated or missing ids do not matter, and every
-    other column is kept. The fused pairs and the stop words they leave need the lemmas of their
-    parts only, a bounded set read first.
+    The lexicon (surface, pos, lemma) is written once and resolved to one final lemma a surface
+    (smallest lemma per surface and part of speech, verb entry then noun entry, as the literal
+    form). Only entries that change a word of the texts go on: they are broadcast when at most
+    ``pass_entries``, counted first, else joined by a shuffle. Each row's distinct tokens meet them
+    once, under a key written with the row, so null, repeated or missing ids do not matter and every
+    other column is kept; the changed tokens come back to the row as its own pairs. No row
+    carries more than its own words. The fused pairs and the stop words they leave need the lemmas
+    of their parts only, a bounded set read first.
     """
-    resolved = _verb_then_noun(lexicon)
+    entries = written(lexicon.select("surface", "pos", "lemma"), "lexicon")
+    resolved = _verb_then_noun(entries)
     parts = sorted({p for pair in K.SPLIT_WORDS for p in pair.split("|")})
     known = {r["token"]: r["lemma"] for r in resolved.where(F.col("token").isin(parts)).collect()}
     fused, gone = T.fused_words(known)
     kept = T.drop_stop_words(F.split(F.coalesce(F.col(text_column), F.lit("")), " "), ["", *K.STOP_WORDS, *gone])
-    rows = df.withColumn("__lexicon_source", kept).withColumn("__lexicon_tokens", F.col("__lexicon_source"))
-
-    n = resolved.count()
-    passes = max(1, -(-n // pass_entries))
-    slots = max(64, -(-n // (4 * passes)))  # about four entries a small map
-    spark = df.sparkSession
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(passes))
-    slot = lambda c: F.pmod(F.crc32(c), F.lit(slots)).cast("int")
-    for p in range(passes):
-        small = (
-            resolved.where(bucket(F.col("token")) == p)
-            .groupBy(slot(F.col("token")).alias("slot"))
-            .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("m"))
-        )
-        dense = spark.range(slots).select(F.col("id").cast("int").alias("slot")).join(small, "slot", "left")
-        # one row of ``slots`` small maps in slot order (map lookups scan, so maps stay small)
-        one_row = dense.agg(F.array_sort(F.collect_list(F.struct("slot", "m")), lambda l, r: l["slot"] - r["slot"]).alias("__lexicon_maps")).select(
-            F.transform("__lexicon_maps", lambda x: F.coalesce(x["m"], F.create_map().cast("map<string,string>"))).alias("__lexicon_maps")
-        )
-        # each text row meets exactly this one row
-        # every token is looked up once, as itself: a lemma that an earlier pass gave is not
-        # looked up again
-        rows = rows.join(F.broadcast(one_row), how="inner").withColumn(
-            "__lexicon_tokens",
-            F.zip_with(
-                "__lexicon_source",
-                "__lexicon_tokens",
-                lambda t, now: F.when(bucket(t) == p, F.coalesce(F.try_element_at(F.get("__lexicon_maps", slot(t)), t), t)).otherwise(now),
-            ),
-        ).drop("__lexicon_maps")
-    # fused pairs come last and win over lemmas, as in the literal form
-    if fused:
-        table = F.create_map(*[F.lit(x) for kv in sorted(fused.items()) for x in kv])
-        rows = rows.withColumn(
-            "__lexicon_tokens",
-            F.zip_with("__lexicon_source", "__lexicon_tokens", lambda t, now: F.coalesce(F.try_element_at(table, t), now)),
-        )
-    return rows.withColumn(out, F.array_join("__lexicon_tokens", " ")).drop("__lexicon_tokens", "__lexicon_source")
+    rows = written(
+        df.withColumn("__lexicon_tokens", kept).withColumn("__lexicon_row", F.monotonically_increasing_id()), "lexicon-rows"
+    )
+
+    tokens = rows.select("__lexicon_row", F.explode(F.array_distinct("__lexicon_tokens")).alias("token"))
+    # fused pairs win over lemmas, as in the literal form
+    changes = resolved.where((F.col("token") != F.col("lemma")) & ~F.col("token").isin(sorted(fused))).unionByName(
+        df.sparkSession.createDataFrame(sorted(fused.items()), "token string, lemma string")
+    )
+    used = written(changes.join(tokens.select("token").distinct(), "token", "left_semi"), "lexicon-used")
+    pairs = (
+        tokens.join(broadcast_if_small(used, pass_entries), "token")
+        .groupBy("__lexicon_row")
+        .agg(F.collect_list(F.struct("token", "lemma")).alias("__lexicon_pairs"))
+    )
+    replaced = F.pandas_udf(_replaced, "string")
+    packed = F.struct(
+        F.col("__lexicon_tokens").alias("tokens"),
+        F.col("__lexicon_pairs.token").alias("surfaces"),
+        F.col("__lexicon_pairs.lemma").alias("lemmas"),
+    )
+    return (
+        rows.join(pairs, "__lexicon_row", "left")
+        .withColumn(out, replaced(packed))
+        .drop("__lexicon_row", "__lexicon_tokens", "__lexicon_pairs")
+    )

@@ -49,3 +49,16 @@ def test_registered_query(spark):
     want = docs.select("doc_id", T.normalize(letters, entries).alias("normalized"))
     got = QUERIES["lexicon_normalize"](spark, SMALL)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_no_row_carries_the_lexicon(spark):
+    """A lexicon far larger than the texts: rows meet only the entries of their own words."""
+    big = spark.range(60_000).select(
+        F.concat(F.lit("w"), "id").alias("surface"), F.lit("n").alias("pos"), F.concat(F.lit("l"), "id").alias("lemma")
+    )
+    docs = spark.createDataFrame([(1, "w1 w59999 w1 payment"), (1, "cannot w7"), (None, None), (2, "")], "k long, text string")
+    found = normalize_with_lexicon(docs, "text", big)
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.select("k", "normalized").collect()), key=repr) == sorted(
+        [(1, "l1 l59999 l1 payment"), (1, "l7"), (None, ""), (2, "")], key=repr
+    )
