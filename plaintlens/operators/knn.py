@@ -5,9 +5,10 @@ as rows. Each task multiplies its Arrow batches with the question matrix and kee
 question, only the best ``k`` seen so far; a task emits at most ``questions * k`` rows, and the
 final ranking shuffles just those.
 
-Questions are taken in blocks of a bounded number of bytes. A block's matrix travels to the tasks
-and the store is scanned once for it, without a shuffle and without copies; its best hits are
-written before the next block is read, so the driver holds one block at a time.
+Questions within ``max_question_bytes`` travel to the tasks as one matrix, and the store is scanned
+once, without a shuffle and without copies. More questions never reach the driver: they and the
+stored vectors are packed into blocks of bounded bytes, and each pair of blocks meets once in a task.
+The work of that is questions times vectors by nature; memory is bounded by the blocks of a task.
 
 Vectors are compared with those of the same length only; :func:`incomparable` names the questions
 that no stored vector can answer. Distances are rounded to nine places before ranking; equal ones
@@ -16,23 +17,38 @@ go to the smaller id.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plaintlens import constants as K
-from plaintlens.session import scratch_path
+from plaintlens.session import written
 
 MAX_QUESTION_BYTES = 32 * 1024 * 1024
 _CELLS = 4_000_000
 
+#: Bytes of one packed block, of the smallest one, and of one partition of blocks.
+_BLOCK_BYTES = 4 * 1024 * 1024
+_SMALL_BLOCK_BYTES = 64 * 1024
+_PART_BYTES = 32 * 1024 * 1024
+
+_PACKED = "block string, dim int, keys array<string>, tags array<string>, vectors binary"
+_PACKED_ARROW = pa.schema(
+    [
+        ("block", pa.string()),
+        ("dim", pa.int32()),
+        ("keys", pa.list_(pa.string())),
+        ("tags", pa.list_(pa.string())),
+        ("vectors", pa.binary()),
+    ]
+)
+
 _SCHEMA = "question_id string, id string, distance double"
 _ARROW = pa.schema(
     [("question_id", pa.string()), ("id", pa.string()), ("distance", pa.float64())]
@@ -128,6 +144,102 @@ def _scan(rows, store: DataFrame, k: int) -> DataFrame:
     return store.mapInArrow(scan, _SCHEMA)
 
 
+def _packed(df: DataFrame, key: str, tag: str, limit: int) -> DataFrame:
+    """Vectors of one length packed into rows of at most about ``limit`` bytes: block, dim, keys,
+    tags, vectors (doubles one behind the other). Rows without a vector are left out."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
+        held: dict[int, list[tuple[list, list, np.ndarray]]] = {}
+
+        def block(dim: int) -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            parts = held.pop(dim)
+            return pa.RecordBatch.from_pylist(
+                [
+                    {
+                        "block": f"{task}-{made}",
+                        "dim": dim,
+                        "keys": [x for part in parts for x in part[0]],
+                        "tags": [x for part in parts for x in part[1]],
+                        "vectors": b"".join(part[2].tobytes() for part in parts),
+                    }
+                ],
+                schema=_PACKED_ARROW,
+            )
+
+        for batch in batches:
+            lengths = pc.list_value_length(batch.column("embedding"))
+            for dim in pc.unique(lengths.drop_null()).to_pylist():
+                same = batch.filter(pc.equal(lengths, dim))
+                per = max(1, limit // max(1, 8 * dim))
+                at = 0
+                while at < same.num_rows:
+                    room = per - sum(len(part[0]) for part in held.get(dim, []))
+                    part = same.slice(at, room)
+                    at += part.num_rows
+                    vectors = _matrix(part.column("embedding"), dim).astype("float64")
+                    held.setdefault(dim, []).append(
+                        (part.column(key).to_pylist(), part.column(tag).to_pylist(), vectors)
+                    )
+                    if part.num_rows == room:
+                        yield block(dim)
+        for dim in list(held):
+            yield block(dim)
+
+    return df.mapInArrow(pack, _PACKED)
+
+
+def _block_pairs(questions: DataFrame, store: DataFrame, question_bytes: int, k: int) -> DataFrame:
+    """The best of every task for questions of any number: no question reaches the driver.
+
+    Questions and stored vectors are packed into blocks of bounded bytes, dealt to partitions of
+    bounded bytes, and every pair of blocks meets once in the cross join of the partitions. A
+    task keeps the best ``k`` of its own questions over the stored blocks it meets.
+    """
+    spark = store.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if questions.filter(F.col("filter_category") == "").isEmpty():
+        # every question names a category: only those stored vectors are packed
+        wanted = questions.select(F.col("filter_category").alias("category")).distinct()
+        store = store.join(wanted, "category", "left_semi")
+    store_bytes = 8 * store.agg(F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("n")).first()["n"]
+    # small sides still give every core a block of questions
+    per_block = min(_BLOCK_BYTES, max(_SMALL_BLOCK_BYTES, question_bytes // (4 * cores)))
+    asked = _packed(questions, "question_id", "filter_category", per_block)
+    held = _packed(store, "id", "category", _BLOCK_BYTES)
+    asked = asked.repartition(max(min(4 * cores, question_bytes // per_block + 1), -(-question_bytes // _PART_BYTES)))
+    held = held.repartition(max(1, -(-store_bytes // _PART_BYTES)))
+    pairs = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns]).join(
+        held, F.col("q_dim") - F.col("dim") == 0
+    )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, _Best] = {}
+        for batch in batches:
+            for at in range(batch.num_rows):
+                name, dim = batch.column("q_block")[at].as_py(), batch.column("dim")[at].as_py()
+                if name not in best:
+                    ids = batch.column("q_keys")[at].as_py()
+                    best[name] = _Best(
+                        ids, _vectors(batch.column("q_vectors")[at], len(ids), dim),
+                        batch.column("q_tags")[at].as_py(), k,
+                    )
+                keys = batch.column("keys")[at].values
+                best[name].add(
+                    keys, _vectors(batch.column("vectors")[at], len(keys), dim), batch.column("tags")[at].values
+                )
+        for own in best.values():
+            yield own.rows()
+
+    return pairs.mapInArrow(search, _SCHEMA)
+
+
+def _vectors(packed: pa.Scalar, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(packed.as_buffer(), "float64").reshape(rows, dim)
+
+
 def incomparable(questions: DataFrame, store: DataFrame) -> DataFrame:
     """(question_id, reject_reason) of questions whose vector has a length that no stored one has.
 
@@ -172,27 +284,14 @@ def nearest(
         F.col("id").cast("string").alias("id"), "embedding", F.col(category).alias("category")
     )
     size = questions.agg(F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, math.ceil(size * 8 / max(1, max_question_bytes)))
-    block_of = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
     order = W.partitionBy("question_id").orderBy("distance", "id")
-    if blocks > 1:
-        path = scratch_path(store.sparkSession, "question-blocks")
-        questions.withColumn("block", block_of).write.partitionBy("block").parquet(path)
-        questions = store.sparkSession.read.parquet(path)
-    done = []
-    for block in range(blocks):
-        own = questions if blocks == 1 else questions.filter(F.col("block") == block)
-        rows = own.collect()  # bounded by max_question_bytes
+    if size * 8 <= max_question_bytes:
+        rows = questions.collect()  # bounded by max_question_bytes
         wanted = {r["filter_category"] for r in rows}
-        scanned = store
         if rows and "" not in wanted:
             # every question names a category: only those store partitions are read
-            scanned = store.filter(F.col("category").isin(sorted(wanted)))
-        found = _scan(rows, scanned, k)
-        found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-        if blocks > 1:
-            path = scratch_path(store.sparkSession, "nearest")
-            found.write.parquet(path)
-            found = store.sparkSession.read.schema(found.schema).parquet(path)
-        done.append(found)
-    return reduce(DataFrame.unionByName, done)
+            store = store.filter(F.col("category").isin(sorted(wanted)))
+        found = _scan(rows, store, k)
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    found = written(_block_pairs(questions, store, size * 8, k), "nearest-found")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

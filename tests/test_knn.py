@@ -108,3 +108,26 @@ def test_no_block_shuffles_the_store(data):
     _, _, q, s = data
     plan = knn.nearest(q, s, K)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and plan.count("Exchange hashpartitioning(question_id") == 1
+
+
+def test_many_questions_never_reach_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(str(i), rng.normal(size=4 if i % 3 else 6).tolist(), f"c{i % 2}") for i in range(300)] + [("999", None, "c0")]
+    store = spark.createDataFrame(rows, "id string, embedding array<double>, product_category string").repartition(3)
+    asked = store.where("embedding IS NOT NULL").selectExpr(
+        "IF(id = '5', null, id) AS question_id", "embedding", "IF(id % 5 = 0, 'c1', '') AS filter_category"
+    )
+    want = sorted(map(tuple, knn.nearest(asked, store, 3).collect()), key=repr)
+    collected = []
+    collect = type(store).collect
+
+    def counted(df):
+        rows = collect(df)
+        collected.extend(rows)
+        return rows
+
+    monkeypatch.setattr(type(store), "collect", counted)
+    for bound in (10_000, 100):
+        found = knn.nearest(asked, store, 3, max_question_bytes=bound)
+        assert not [r for r in collected if "embedding" in r]
+        assert sorted(map(tuple, collect(found)), key=repr) == want
