@@ -58,51 +58,66 @@ def _shifted(col: str, d: int) -> Column:
     return F.slice(col, d + 1, F.greatest(F.size(col) - d, F.lit(0)))
 
 
-def _rightmost_min(x: Column, y: Column) -> Column:
-    """Of two (h, i) structs, the smaller hash; on equal hashes the one further right."""
-    return F.when(y.isNull(), x).when(y["h"] <= x["h"], y).otherwise(x)
+#: Low bits of a winnowed number that hold the position (as LAST - position); the rest is hash.
+PLACE_BITS = 30
+LAST = (1 << PLACE_BITS) - 1
 
 
 def with_fingerprints(df: DataFrame, k: int, w: int) -> DataFrame:
-    """Adds ``fps`` to a frame with words ``w``: array<struct<h: long, q: int, c0: int,
-    ctx: array<string>>>, the winnowed k-word hashes at q with the words from
-    c0 = max(0, q - (WINDOW - k)) to q + WINDOW (clipped) around them.
+    """Adds ``fps`` to a frame with words ``w``: array<long>, the winnowed k-word hashes: each the
+    upper bits of a hash with its place below (see :func:`hash_of`, :func:`place_of`).
 
     Every step is a whole-array operation over shifted copies (``zip_with``), never a slice a
-    window, so a text of n words costs O(n (k + log w)); each step is its own column.
+    window, so a text of n words costs O(n (log k + log w)); each step is its own column. Hash and
+    place share one number, counted down from the right, so the smallest number of a window is
+    its smallest hash, the rightmost of equal ones.
     """
     n = F.size("w")
     # a generator keeps the projections apart, so the words are split once a row and not again
     # inside every lambda that reads them
     step = df.withColumn("w", F.explode(F.array("w")))
-    step = step.withColumn("_g", F.transform("w", lambda x: F.xxhash64(x)))
-    # k-word hashes: chain the hash of each word with those of the next k - 1
-    for d in range(1, k):
-        step = step.withColumn("_g", F.zip_with("_g", _shifted("w", d), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))))
+    step = step.withColumn("_g1", F.transform("w", lambda x: F.xxhash64(x)))
+    # k-word hashes, by doubling the run they cover
+    run = 1
+    while run < k:
+        add = min(run, k - run)
+        step = step.withColumn(
+            f"_g{run + add}",
+            F.zip_with(
+                F.slice(f"_g{run}", 1, F.greatest(n - (run + add) + 1, F.lit(0))), _shifted(f"_g{add}", run),
+                lambda a, b: F.xxhash64(a, b),
+            ),
+        )
+        run += add
+    high = F.lit(-(LAST + 1))
     step = step.withColumn(
-        "_m",
-        F.transform(F.slice("_g", 1, F.greatest(n - k + 1, F.lit(0))), lambda h, i: F.struct(h.alias("h"), i.alias("i"))),
+        "_c1", F.transform(f"_g{k}", lambda h, i: h.bitwiseAND(high).bitwiseOR(F.lit(LAST) - i))
     )
-    # rightmost smallest hash of the windows of w, by doubling the covered span
-    span, cover = 1, "_m"
-    step = step.withColumn("_c1", F.col("_m"))
+    # smallest number of the windows of w, by doubling the covered span
+    span = 1
     while span < w:
         add = min(span, w - span)
-        step = step.withColumn(f"_c{span + add}", F.zip_with(f"_c{span}", _shifted(f"_c{add}", span), _rightmost_min))
+        step = step.withColumn(f"_c{span + add}", F.zip_with(f"_c{span}", _shifted(f"_c{add}", span), lambda a, b: F.least(a, b)))
         span += add
-    cover = f"_c{w}"
     n_windows = F.greatest(n - (k + w - 1) + 1, F.lit(0))
-    step = step.withColumn("_win", F.slice(cover, 1, n_windows))
-    # window minima move right only: keep each where it changes
-    step = step.withColumn("_picked", F.filter("_win", lambda x, j: (j == 0) | (x["i"] != F.element_at("_win", j)["i"])))
+    step = step.withColumn("_win", F.slice(f"_c{w}", 1, n_windows))
+    # window minima move right only: equal ones are one place
+    temps = [c for c in step.columns if c == "_win" or c[:2] in ("_g", "_c") and c[2:].isdigit()]
+    return step.withColumn("fps", F.array_distinct("_win")).drop(*temps)
+
+
+def hash_of(fp: Column) -> Column:
+    return fp.bitwiseAND(F.lit(-(LAST + 1)))
+
 
-    def carry(f: Column) -> Column:
-        q = f["i"]
-        c0 = F.greatest(F.lit(0), q - (WINDOW - k))
-        return F.struct(f["h"].alias("h"), q.alias("q"), c0.alias("c0"), F.slice("w", c0 + 1, q + WINDOW - c0).alias("ctx"))
+def place_of(fp: Column) -> Column:
+    return (F.lit(LAST) - fp.bitwiseAND(F.lit(LAST))).cast("int")
 
-    temps = ["_g", "_m", "_win", "_picked"] + [c for c in step.columns if c.startswith("_c") and c[2:].isdigit()]
-    return step.withColumn("fps", F.transform("_picked", carry)).drop(*temps)
+
+def with_context(df: DataFrame, q: str, c0: str, ctx: str, k: int) -> DataFrame:
+    """Adds the words from ``c0`` = max(0, q - (WINDOW - k)) to q + WINDOW (clipped)."""
+    start = F.greatest(F.lit(0), F.col(q) - (WINDOW - k))
+    return df.withColumn(c0, start).withColumn(ctx, F.slice("w", F.col(c0) + 1, F.col(q) + WINDOW - F.col(c0)))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -115,13 +130,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     shortest = items.agg(F.min(F.least(F.col("m"), F.lit(window)))).first()[0] or window
     k, w = parameters(shortest)
 
-    item_fps = with_fingerprints(items, k, w).select(
-        "item_id",
-        F.least(F.col("m"), F.lit(window)).alias("L"),
-        F.col("m").alias("m"),
-        F.explode("fps").alias("f"),
-    ).select("item_id", "L", "m", F.col("f.h").alias("h"), F.col("f.q").alias("iq"), F.col("f.c0").alias("ic0"), F.col("f.ctx").alias("ictx"))
-    if item_fps.count() <= BROADCAST_ROWS:
+    item_fps = with_context(
+        with_fingerprints(items, k, w)
+        .select(
+            "item_id", "w", F.least(F.col("m"), F.lit(window)).alias("L"), "m", F.explode("fps").alias("f")
+        )
+        .select("item_id", "w", "L", "m", hash_of(F.col("f")).alias("h"), place_of(F.col("f")).alias("iq")),
+        "iq", "ic0", "ictx", k,
+    ).drop("w")
+    few = item_fps.count() <= BROADCAST_ROWS
+    if few:
         item_fps = F.broadcast(item_fps)
 
     rows = with_fingerprints(
@@ -132,14 +150,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         ),
         k,
         w,
-    ).select("doc_id", "digest", F.size("w").alias("n"), "fps")
+    ).select("doc_id", "digest", "w", F.size("w").alias("n"), "fps")
     # one marker row per document (h null) besides its fingerprints
-    marked = rows.select(
-        "doc_id", "digest", "n",
-        F.explode(F.concat(F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(-1).alias("q"), F.lit(0).alias("c0"), F.array().cast("array<string>").alias("ctx"))), F.col("fps"))).alias("f"),
-    ).select("doc_id", "digest", "n", F.col("f.h").alias("h"), F.col("f.q").alias("q"), F.col("f.c0").alias("c0"), F.col("f.ctx").alias("ctx"))
-    # the marker and matched fingerprints stay; unmatched ones end in the same stage
-    joined = marked.join(item_fps, "h", "left").where((F.col("q") < 0) | F.col("iq").isNotNull())
+    marked = rows.select("doc_id", "digest", "w", "n", F.explode(F.concat(F.array(F.lit(None).cast("long")), F.col("fps"))).alias("f")).select(
+        "doc_id", "digest", "w", "n", hash_of(F.col("f")).alias("h"), F.coalesce(place_of(F.col("f")), F.lit(-1)).alias("q")
+    )
+    # the marker and matched fingerprints stay; unmatched ones end in the same stage. Beside a
+    # broadcast only matched ones take their words along, before a shuffle all do (not the whole text)
+    if few:
+        found = marked.join(item_fps, "h", "left").where((F.col("q") < 0) | F.col("iq").isNotNull())
+        joined = with_context(found, "q", "c0", "ctx", k).drop("w")
+    else:
+        found = with_context(marked, "q", "c0", "ctx", k).drop("w").join(item_fps, "h", "left")
+        joined = found.where((F.col("q") < 0) | F.col("iq").isNotNull())
 
     # offsets o of the anchor inside a window; a window starts at q - o in the document and
     # iq - o in the item, and is confirmed on its words
