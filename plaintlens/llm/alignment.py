@@ -8,14 +8,18 @@ joined A or B bytes differ from " " + text (B's normaliser changed it) has no to
 where an A token and a B token both end cut the two streams into groups; the two tokens ending at
 a cut form a link. A link's count is how many links of the corpus hold the same (A id, B id).
 
-Method (associative fragment monoid): a task cuts a document's two token streams into byte
-ranges of ``CHUNK_BYTES``; each range yields a fragment: an open head (tokens up to its first
-cut, which close a group begun before), closed groups, an open tail, and the links of its cuts.
-Fragments compose associatively (tail of the left and head of the right form one group), so the
-fragments of one long document are merged pairwise in rounds of Spark groupings, written as SQL
-expressions; documents of one range skip the rounds. Link counts are a grouping by (A id, B id)
-with map-side combining, the best count of each B id a grouping of those; the links are joined
-to their counts (broadcast when the count table is within ``BROADCAST_ROWS``, counted first).
+Method (associative fragment monoid): a text is cut into byte ranges; each range yields a
+fragment: an open head (tokens up to its first cut, which close a group begun before), closed
+groups and an open tail. Fragments compose associatively (tail of the left and head of the right
+form one group). A space after a character that is none is a cut of both tokenizers, whatever
+stands around it (checked on their vocabularies), so a space and the word behind it are a closed
+fragment of their own: it is encoded once and kept in a bounded cache, and a task composes those of
+up to ``CHUNK_BYTES`` by concatenation. Ranges of a text beyond that are merged pairwise in rounds
+of Spark groupings, written as SQL expressions. A text of one range leaves its task as digest and
+links, 8 bytes a link before compression; only longer ones store groups. Link counts are a
+grouping by (A id, B id) with map-side combining, the best count of each B id a grouping of
+those; the links are joined to their counts (broadcast when the count table is within
+``BROADCAST_ROWS``, counted first).
 
 Defined cases: null or empty text, or a text that a tokenizer does not give back byte for byte:
 zeros and an empty groups_sha256. Very long texts: tokenised in one task (memory linear in the
@@ -25,6 +29,10 @@ as null. Columns besides doc_id and text are ignored, whatever their names. Empt
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import byte_slices, written
+from plaintlens.llm.pretokens import Cache
 
 #: Bytes of one fragment's range.
 CHUNK_BYTES = 64 << 10
@@ -124,8 +133,129 @@ def fragments(a_ids, a_ends, b_ids, b_ends, chunk: int) -> list[dict]:
     return out
 
 
+#: A space with no white space before it: both tokenizers cut there. (U+180E counts as white space
+#: in some Unicode versions only.)
+_CUT = re.compile(r"(?<=[^\s\u180e])(?= )")
+_ODD = re.compile(r"[\s\u180e](?: |\Z)")
+#: Segments of up to this many characters are kept, this many at most in a Python worker.
+CACHED_CHARS, CACHED = 64, 400_000
+
+_WORKER: dict = {}
+
+
+def cuts_at_words(a_path: str, sp) -> bool:
+    """Whether no token of either tokenizer can hold a space behind another character."""
+    with open(a_path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec["pre_tokenizer"] or {}
+    pieces = (sp.id_to_piece(i) for i in range(sp.get_piece_size()))
+    return (
+        spec["normalizer"] is None
+        and pre.get("type") == "ByteLevel"
+        and pre.get("use_regex", True)
+        and not pre.get("add_prefix_space", True)
+        and not any("▁" in piece.lstrip("▁") for piece in pieces)
+    )
+
+
+def segments(text: str) -> list[str]:
+    """The text behind each space that is a cut; " " before each and joined they are " " + text."""
+    whole = " " + text
+    if not _ODD.search(whole):
+        return text.split(" ")
+    parts = _CUT.split(whole)
+    if len(parts) > 1 and parts[-1] == " ":  # B does not encode an empty text
+        parts[-2:] = [parts[-2] + " "]
+    return [part[1:] for part in parts]
+
+
+def closed(ia: list[int], la: list[int], ib: list[int], lb: list[int], text: list[str]) -> tuple[str, bytes]:
+    """Groups and links (pairs of 4-byte ids) of two token streams over the same bytes; ``text``
+    has the decimal form of each id."""
+    groups, links = [], []
+    i = j = 0
+    end_a, end_b, a, b = la[0], lb[0], text[ia[0]], text[ib[0]]
+    while True:
+        if end_a == end_b:
+            groups.append(a + "|" + b)
+            links += ia[i], ib[j]
+            i, j = i + 1, j + 1
+            if i == len(ia):
+                return ";".join(groups), array("i", links).tobytes()
+            end_a, end_b, a, b = end_a + la[i], end_b + lb[j], text[ia[i]], text[ib[j]]
+        elif end_a < end_b:
+            i += 1
+            end_a, a = end_a + la[i], a + "," + text[ia[i]]
+        else:
+            j += 1
+            end_b, b = end_b + lb[j], b + "," + text[ib[j]]
+
+
+class Encoder:
+    """Segments as (bytes, A tokens, B tokens, groups, links), None where a tokenizer does not give
+    the bytes back; a segment over ``chunk`` bytes as (bytes, A tokens, B tokens, fragments, None)."""
+
+    def __init__(self, a_path: str, b_path: str):
+        self.tok, self.bytes_a = a_table(a_path)
+        self.sp, self.bytes_b = b_table(b_path)
+        self.len_a = list(map(len, self.bytes_a))
+        self.text = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
+        self.split = segments if cuts_at_words(a_path, self.sp) else lambda text: [text]
+        self.cache = Cache(CACHED)
+
+    def encode(self, parts: set[str], chunk: int) -> dict:
+        """All of ``parts``, new ones through the libraries."""
+        short = [part for part in parts if len(part) <= CACHED_CHARS]
+        new = self.cache.missing(short)
+        found = {}
+        todo = new + [part for part in parts if len(part) > CACHED_CHARS]
+        of_a = self.tok.encode_batch_fast([" " + part for part in todo], add_special_tokens=False)
+        for part, one, ib in zip(todo, of_a, self.sp.encode(todo)):
+            ia, want = one.ids, (" " + part).encode("utf-8")
+            pieces = [self.bytes_b[i] for i in ib]
+            if None in pieces or b"".join(pieces) != want or b"".join([self.bytes_a[i] for i in ia]) != want:
+                found[part] = None
+                continue
+            la, lb = [self.len_a[i] for i in ia], list(map(len, pieces))
+            if len(want) <= chunk:
+                found[part] = (len(want), len(ia), len(ib), *closed(ia, la, ib, lb, self.text))
+            else:
+                ends = np.cumsum(np.array(la, np.int64)), np.cumsum(np.array(lb, np.int64))
+                frags = fragments(np.array(ia, np.int64), ends[0], np.array(ib, np.int64), ends[1], chunk)
+                found[part] = (len(want), len(ia), len(ib), frags, None)
+        self.cache.update((part, found[part]) for part in new if found[part] is None or found[part][4] is not None)
+        for part in short:
+            if part not in found:
+                found[part] = self.cache[part]
+        return found
+
+
+def _range(parts: list[tuple]) -> dict:
+    """The fragment of adjacent closed segments: their concatenation, the first group as head."""
+    head, _, body = ";".join([part[3] for part in parts]).partition(";")
+    ha, hb = ([int(i) for i in side.split(",")] for side in head.split("|"))
+    return dict(cut=True, ha=ha, hb=hb, body=body, ta=[], tb=[])
+
+
+def ranges(parts: list[tuple], chunk: int) -> list[dict]:
+    """The fragments of a text of more than one range."""
+    out, held, size = [], [], 0
+    for part in parts:
+        if held and (size + part[0] > chunk or part[4] is None):
+            out.append(_range(held))
+            held, size = [], 0
+        if part[4] is None:
+            # links are the last ids of closed groups: read back from them at the end
+            out += [{k: v for k, v in frag.items() if k != "links"} for frag in part[3]]
+        else:
+            held.append(part)
+            size += part[0]
+    return out + ([_range(held)] if held else [])
+
+
 def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -> DataFrame:
-    """Per row and range: row, doc_id, n_a, n_b, valid, k (range number), n_k (ranges), frag."""
+    """Per row and range: row, doc_id, n_a, n_b, k (range number), n_k (ranges); a row of one range
+    has digest and links, ranges of longer ones their fragment frag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -133,41 +263,54 @@ def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTE
         # one thread a task: Spark runs the tasks side by side already, and each thread of the
         # library would hold its own buffers
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok_a, bytes_a = a_table(a_path)
-        sp, bytes_b = b_table(b_path)
+        if (a_path, b_path, chunk) not in _WORKER:
+            _WORKER.clear()
+            _WORKER[a_path, b_path, chunk] = Encoder(a_path, b_path)
+        encoder = _WORKER[a_path, b_path, chunk]
         for batch in batches:
             for part in byte_slices(batch, "text", limit=SLICE_BYTES, rows=SLICE_ROWS):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                enc_a = tok_a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-                enc_b = sp.encode(texts)
-                cols = {k: [] for k in ("row", "doc_id", "n_a", "n_b", "valid", "k", "n_k", "frag")}
-                for row, doc_id, text, ea, ib in zip(
-                    part.column("row").to_pylist(), part.column("doc_id").to_pylist(), texts, enc_a, enc_b
-                ):
-                    want = (" " + text).encode("utf-8")
-                    ia = ea.ids
-                    pa_ = [bytes_a[i] for i in ia]
-                    pb_ = [bytes_b[i] for i in ib]
-                    valid = bool(text) and None not in pb_ and b"".join(pa_) == want and b"".join(pb_) == want
-                    if valid:
-                        a_ends = np.cumsum(np.fromiter(map(len, pa_), np.int64, len(pa_)))
-                        b_ends = np.cumsum(np.fromiter(map(len, pb_), np.int64, len(pb_)))
-                        frags = fragments(np.array(ia, np.int64), a_ends, np.array(ib, np.int64), b_ends, chunk)
-                    else:
-                        frags = [dict(cut=False, ha=[], hb=[], body="", links=[], ta=[], tb=[])]
-                    for k, frag in enumerate(frags):
-                        cols["row"].append(row)
-                        cols["doc_id"].append(doc_id)
-                        cols["n_a"].append(len(ia) if valid else 0)
-                        cols["n_b"].append(len(ib) if valid else 0)
-                        cols["valid"].append(valid)
-                        cols["k"].append(k)
-                        cols["n_k"].append(len(frags))
-                        # links are the last ids of closed groups: read back from them at the end
-                        cols["frag"].append({k: v for k, v in frag.items() if k != "links"})
-                yield pa.RecordBatch.from_pydict(cols, schema=_SCHEMA)
-
-    return docs.mapInArrow(run, f"row long, doc_id long, n_a long, n_b long, valid boolean, k int, n_k int, frag struct<{FRAGMENT}>")
+                yield _aligned(encoder, part, chunk)
+
+    return docs.mapInArrow(
+        run,
+        "row long, doc_id long, n_a long, n_b long, k int, n_k int, n_links long, digest string, "
+        f"links array<struct<a: int, b: int>>, frag struct<{FRAGMENT}>",
+    )
+
+
+def _aligned(encoder: Encoder, batch: pa.RecordBatch, chunk: int) -> pa.RecordBatch:
+    texts = [encoder.split(text) if text else [] for text in batch.column("text").to_pylist()]
+    known = encoder.encode(set().union(*texts), chunk)
+    cols = {name: [] for name in ("row", "doc_id", "n_a", "n_b", "k", "n_k", "digest", "frag")}
+    links, n_links = [], []
+    for row, doc_id, words in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), texts):
+        parts = [known[word] for word in words]
+        if None in parts:
+            parts = []
+        size = sum([part[0] for part in parts])
+        frags, digest, own = [None], "", b""
+        if size > chunk:
+            frags, digest = ranges(parts, chunk), None
+        elif parts:
+            digest = hashlib.sha256(";".join([part[3] for part in parts]).encode()).hexdigest()
+            own = b"".join([part[4] for part in parts])
+        n_a, n_b = sum([part[1] for part in parts]), sum([part[2] for part in parts])
+        for k, frag in enumerate(frags):
+            values = (row, doc_id, n_a, n_b, k, len(frags), digest, frag)
+            for name, value in zip(cols, values):
+                cols[name].append(value)
+            links.append(own)
+            n_links.append(len(own) // 8)
+    pairs = np.frombuffer(b"".join(links), np.int32).reshape(-1, 2)
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"]
+    )
+    cols["n_links"] = n_links
+    offsets = pa.array(np.append(0, np.cumsum(n_links)), pa.int32())
+    cols["links"] = pa.ListArray.from_arrays(offsets, pairs)
+    return pa.RecordBatch.from_arrays(
+        [cols[f.name] if f.name == "links" else pa.array(cols[f.name], f.type) for f in _SCHEMA], names=_SCHEMA.names
+    )
 
 
 _LONGS = pa.list_(pa.int64())
@@ -177,9 +320,11 @@ _SCHEMA = pa.schema(
         ("doc_id", pa.int64()),
         ("n_a", pa.int64()),
         ("n_b", pa.int64()),
-        ("valid", pa.bool_()),
         ("k", pa.int32()),
         ("n_k", pa.int32()),
+        ("n_links", pa.int64()),
+        ("digest", pa.string()),
+        ("links", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
         (
             "frag",
             pa.struct(
@@ -249,19 +394,17 @@ def compose(left: Column, right: Column) -> Column:
     )
 
 
-def merged(frags: DataFrame) -> DataFrame:
+def merged(multi: DataFrame) -> DataFrame:
     """One fragment per row: ranges of long documents composed pairwise, round by round."""
-    single = frags.where(F.col("n_k") == 1)
-    multi = frags.where(F.col("n_k") > 1)
     rounds = multi.agg(F.max("n_k")).first()[0]
     level = multi
     width = 1
     while rounds is not None and width < rounds:
         level = (
-            level.groupBy("row", "doc_id", "n_a", "n_b", "valid", "n_k", (F.col("k") / 2).cast("int").alias("k"))
+            level.groupBy("row", "doc_id", "n_a", "n_b", "n_k", (F.col("k") / 2).cast("int").alias("k"))
             .agg(F.array_sort(F.collect_list(F.struct(F.col("k").alias("at"), F.col("frag").alias("frag")))).alias("pair"))
             .select(
-                "row", "doc_id", "n_a", "n_b", "valid", "k", "n_k",
+                "row", "doc_id", "n_a", "n_b", "k", "n_k",
                 F.when(F.size("pair") == 1, F.col("pair")[0]["frag"])
                 .otherwise(compose(F.col("pair")[0]["frag"], F.col("pair")[1]["frag"]))
                 .alias("frag"),
@@ -269,7 +412,7 @@ def merged(frags: DataFrame) -> DataFrame:
         )
         width *= 2
         level = written(level, "alignment-round")
-    return single.unionByName(level)
+    return level
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -> DataFrame:
@@ -280,8 +423,17 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -
         F.monotonically_increasing_id().alias("row"),
     )
     frags = written(tokenized(rows, a_path, b_path, chunk), "alignment-fragments")
-    # single ranges and the last round are written tables already: their union is read, not copied
-    whole = merged(frags).withColumn("links", _links(F.col("frag")))
+    one = frags.where(F.col("n_k") == 1).select("row", "doc_id", "n_a", "n_b", "n_links", "digest", "links")
+    multi = frags.where(F.col("n_k") > 1).select("row", "doc_id", "n_a", "n_b", "k", "n_k", "frag")
+    frag = F.col("frag")
+    text = F.concat_ws(";", _group_sql(frag["ha"], frag["hb"]), F.when(frag["body"] != "", frag["body"]))
+    long = merged(multi).select(
+        "row", "doc_id", "n_a", "n_b", F.sha2(text, 256).alias("digest"),
+        _links(frag).cast("array<struct<a: int, b: int>>").alias("links"),
+    )
+    long = long.select("row", "doc_id", "n_a", "n_b", F.size("links").cast("long").alias("n_links"), "digest", "links")
+    # rows of one range are a written table already: it is read, not copied
+    whole = one.unionByName(written(long, "alignment-long"))
 
     links = whole.select("row", F.explode("links").alias("l")).select("row", F.col("l.a").alias("a"), F.col("l.b").alias("b"))
     counts = links.groupBy("a", "b").agg(F.count("*").alias("count"))
@@ -295,15 +447,13 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -
         .groupBy("row")
         .agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
     )
-    frag = F.col("frag")
-    text = F.concat_ws(";", _group_sql(frag["ha"], frag["hb"]), F.when(frag["body"] != "", frag["body"]))
     return whole.join(per_row, "row", "left").select(
         "doc_id",
         F.col("n_a").cast("long").alias("n_a"),
         F.col("n_b").cast("long").alias("n_b"),
-        F.size("links").cast("long").alias("n_groups"),
-        F.size("links").cast("long").alias("n_links"),
+        F.col("n_links").alias("n_groups"),
+        "n_links",
         F.coalesce("n_best", F.lit(0)).cast("long").alias("n_best"),
         F.coalesce("count_sum", F.lit(0)).cast("long").alias("count_sum"),
-        F.when(F.col("valid"), F.sha2(text, 256)).otherwise(F.lit("")).alias("groups_sha256"),
+        F.col("digest").alias("groups_sha256"),
     )

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from plaintlens.llm.alignment import a_table, align, b_table, fragments
+from plaintlens.llm.alignment import a_table, align, b_table, fragments, tokenized
 
 A = "/opt/tokenizers/byte_bpe_50k.json"
 B = "/opt/tokenizers/piece_bpe_32k.model"
@@ -88,3 +88,25 @@ def test_fragments_compose_to_the_whole():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert align(df, A, B).collect() == []
+
+
+SPACED = [
+    " leading", "trailing ", "two  spaces", "   many   spaces   ", "tab\t next", "line\n next\n\n  and more", " ", "  ", "\n", " \n ",
+    "it's they'll 'tis a'b", "  nbsp  x", "᠎  x", "　 wide  　", "a▁b ▁", "日本語 テキスト と", "x" * 200 + " y",
+    "émoji 😀 😀😀 <unk> <s>", "1234 5678,90 $5.00 !!", "\x1c x\x85 y", "CRLF\r\n next",
+]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64 << 10])
+def test_words_align_on_their_own(spark, chunk):
+    """Segments encoded alone give what the whole text gives, whatever the white space."""
+    docs = list(enumerate(SPACED)) + [(100, " ".join(SPACED)), (101, "\n".join(SPACED)), (102, "one two " * 50)]
+    got = sorted((tuple(r) for r in align(spark.createDataFrame(docs, "doc_id long, text string"), A, B, chunk).collect()), key=repr)
+    assert got == brute(docs)
+
+
+def test_only_long_texts_store_groups(spark):
+    docs = spark.createDataFrame([(1, "a b c", 0), (2, "long text " * 40, 1)], "doc_id long, text string, row long")
+    rows = tokenized(docs, A, B, 100).collect()
+    assert {r.doc_id for r in rows if r.frag is not None} == {2}
+    assert all(r.digest and len(r.links) == 3 for r in rows if r.doc_id == 1)
