@@ -13,8 +13,8 @@ fragment: an open head (tokens up to its first cut, which close a group begun be
 groups and an open tail. Fragments compose associatively (tail of the left and head of the right
 form one group). A space after a character that is none is a cut of both tokenizers, whatever
 stands around it (checked on their vocabularies), so a space and the word behind it are a closed
-fragment of their own: it is encoded once and kept in a bounded cache, and a task composes those of
-up to ``CHUNK_BYTES`` by concatenation. Ranges of a text beyond that are merged pairwise in rounds
+fragment of their own: it is encoded once and kept, as codes in bounded arrays, and a task composes
+those of up to ``CHUNK_BYTES`` by concatenation. Ranges of a text beyond that are merged pairwise in rounds
 of Spark groupings, written as SQL expressions. A text of one range leaves its task as digest and
 links, 8 bytes a link before compression; only longer ones store groups. Link counts are a
 grouping by (A id, B id) with map-side combining, the best count of each B id a grouping of
@@ -32,21 +32,26 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import byte_slices, written
-from plaintlens.llm.pretokens import Cache
+from plaintlens.llm.common import arrow_batches, byte_slices, written
+from plaintlens.llm.pretokens import Numbers, Recent
 
 #: Bytes of one fragment's range.
 CHUNK_BYTES = 64 << 10
-#: Text a task encodes at once: the libraries' encodings take far more memory than the text.
-SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
+#: Text a task aligns at once, and new segments that the libraries encode at once: their encodings
+#: take far more memory than the text.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 1024
+ENCODED_PARTS, ENCODED_CHARS = 4096, 64 << 10
+#: Rows that go to a Python worker at once, in bytes: executor and worker both hold them.
+BATCH_BYTES = 4 << 20
 #: Link count rows broadcast up to this many (counted first); beyond, a shuffle join.
 BROADCAST_ROWS = 4_000_000
 
@@ -137,8 +142,11 @@ def fragments(a_ids, a_ends, b_ids, b_ends, chunk: int) -> list[dict]:
 #: in some Unicode versions only.)
 _CUT = re.compile(r"(?<=[^\s\u180e])(?= )")
 _ODD = re.compile(r"[\s\u180e](?: |\Z)")
-#: Segments of up to this many characters are kept, this many at most in a Python worker.
-CACHED_CHARS, CACHED = 64, 400_000
+#: The same of a text without the space before it, where nearly all texts need no such look.
+_SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD_TEXT = rf"\A(?: |\z)|{_SPACES}(?: |\z)"
+#: Different segments kept in a Python worker.
+CACHED = 600_000
 
 _WORKER: dict = {}
 
@@ -169,88 +177,177 @@ def segments(text: str) -> list[str]:
     return [part[1:] for part in parts]
 
 
-def closed(ia: list[int], la: list[int], ib: list[int], lb: list[int], text: list[str]) -> tuple[str, bytes]:
-    """Groups and links (pairs of 4-byte ids) of two token streams over the same bytes; ``text``
-    has the decimal form of each id."""
-    groups, links = [], []
-    i = j = 0
-    end_a, end_b, a, b = la[0], lb[0], text[ia[0]], text[ib[0]]
-    while True:
-        if end_a == end_b:
-            groups.append(a + "|" + b)
-            links += ia[i], ib[j]
-            i, j = i + 1, j + 1
-            if i == len(ia):
-                return ";".join(groups), array("i", links).tobytes()
-            end_a, end_b, a, b = end_a + la[i], end_b + lb[j], text[ia[i]], text[ib[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a, a = end_a + la[i], a + "," + text[ia[i]]
-        else:
-            j += 1
-            end_b, b = end_b + lb[j], b + "," + text[ib[j]]
-
-
 class Encoder:
-    """Segments as (bytes, A tokens, B tokens, groups, links), None where a tokenizer does not give
-    the bytes back; a segment over ``chunk`` bytes as (bytes, A tokens, B tokens, fragments, None)."""
+    """Segments as codes, 4 bytes a token in the order of the groups' text: twice the id, B's behind
+    A's, plus one for the last token of its group. b"" where a tokenizer does not give the bytes back."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.tok, self.bytes_a = a_table(a_path)
-        self.sp, self.bytes_b = b_table(b_path)
-        self.len_a = list(map(len, self.bytes_a))
-        self.text = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
-        self.split = segments if cuts_at_words(a_path, self.sp) else lambda text: [text]
-        self.cache = Cache(CACHED)
-
-    def encode(self, parts: set[str], chunk: int) -> dict:
-        """All of ``parts``, new ones through the libraries."""
-        short = [part for part in parts if len(part) <= CACHED_CHARS]
-        new = self.cache.missing(short)
+        self.tok, bytes_a = a_table(a_path)
+        self.sp, bytes_b = b_table(b_path)
+        self.n_a = len(bytes_a)
+        self.bytes_a = pa.array(bytes_a, pa.binary())
+        self.bytes_b = pa.array([piece or b"" for piece in bytes_b], pa.binary())
+        self.len_a = np.fromiter(map(len, bytes_a), np.int64, len(bytes_a))
+        self.len_b = np.fromiter((len(piece or b"") for piece in bytes_b), np.int64, len(bytes_b))
+        self.at_words = cuts_at_words(a_path, self.sp)
+        sides = ((len(bytes_a), ",|"), (len(bytes_b), ",;"))
+        self.text = pa.array([f"{i}{mark}" for n, marks in sides for i in range(n) for mark in marks], pa.string())
+        self.cache = Recent(CACHED)
+
+    def split(self, text: str) -> list[str]:
+        return segments(text) if self.at_words else [text]
+
+    def split_all(self, texts: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
+        """Rows of ``texts`` in another order, and the segments of each."""
+        odd = np.full(len(texts), True)
+        if self.at_words:
+            odd = pc.match_substring_regex(texts, _ODD_TEXT).to_numpy(zero_copy_only=False)
+        plain, odd = np.flatnonzero(~odd), np.flatnonzero(odd)
+        parts = [self.split(text) if text else [] for text in texts.take(pa.array(odd)).to_pylist()]
+        lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        return np.append(plain, odd), pa.concat_arrays([lists, pa.array(parts, lists.type)])
+
+    def codes(self, parts: pa.Array) -> Numbers:
+        """Those of different ``parts``, new ones through the libraries."""
+        return self.cache.numbers(parts, self._new)
+
+    def _new(self, parts: list[str]) -> list[bytes]:
+        # in one string, segments are cut where white space ends none of them
+        alone = {part for part in parts if not self.at_words or not part or part[-1].isspace() or part[-1] == "\u180e"}
         found = {}
-        todo = new + [part for part in parts if len(part) > CACHED_CHARS]
-        of_a = self.tok.encode_batch_fast([" " + part for part in todo], add_special_tokens=False)
-        for part, one, ib in zip(todo, of_a, self.sp.encode(todo)):
-            ia, want = one.ids, (" " + part).encode("utf-8")
-            pieces = [self.bytes_b[i] for i in ib]
-            if None in pieces or b"".join(pieces) != want or b"".join([self.bytes_a[i] for i in ia]) != want:
-                found[part] = None
-                continue
-            la, lb = [self.len_a[i] for i in ia], list(map(len, pieces))
-            if len(want) <= chunk:
-                found[part] = (len(want), len(ia), len(ib), *closed(ia, la, ib, lb, self.text))
-            else:
-                ends = np.cumsum(np.array(la, np.int64)), np.cumsum(np.array(lb, np.int64))
-                frags = fragments(np.array(ia, np.int64), ends[0], np.array(ib, np.int64), ends[1], chunk)
-                found[part] = (len(want), len(ia), len(ib), frags, None)
-        self.cache.update((part, found[part]) for part in new if found[part] is None or found[part][4] is not None)
-        for part in short:
-            if part not in found:
-                found[part] = self.cache[part]
-        return found
-
-
-def _range(parts: list[tuple]) -> dict:
+        for whole in (False, True):
+            for some in _groups([part for part in parts if (part in alone) != whole]):
+                found.update(zip(some, self._encoded(some, whole)))
+        return [found[part] for part in parts]
+
+    def _of_a(self, parts: list[str], sizes: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all parts, and how many each has. whole: by one call for all."""
+        if whole:
+            ids = self.tok.encode_batch_fast([" " + " ".join(parts)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, np.int64)
+            ends, wanted = np.cumsum(self.len_a[ids]), np.cumsum(sizes)
+            at = np.searchsorted(ends, wanted)
+            if at[-1] + 1 == len(ids) and (ends[at] == wanted).all():
+                return ids, np.diff(at, prepend=-1)
+        listed = [
+            one.ids
+            for one in self.tok.encode_batch_fast([" " + part for part in parts], add_special_tokens=False)
+        ]
+        return _flat(listed)
+
+    def _encoded(self, parts: list[str], whole: bool) -> list[bytes]:
+        sizes = np.fromiter((len(part.encode()) + 1 for part in parts), np.int64, len(parts))
+        ids_a, n_a = self._of_a(parts, sizes, whole)
+        ids_b, n_b = _flat(self.sp.encode(parts, num_threads=1))
+        given = np.ones(len(parts), bool)
+
+        def kept(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return ids[np.repeat(given, n)], n * given
+
+        for ids, n, lens in ((ids_a, n_a, self.len_a), (ids_b, n_b, self.len_b)):
+            given &= _sums(lens[ids], n) == sizes
+            given &= _sums(lens[ids] == 0, n) == 0  # control and unknown tokens are no bytes
+        (ids_a, n_a), (ids_b, n_b) = kept(ids_a, n_a), kept(ids_b, n_b)
+        want = np.frombuffer("".join([f" {p}" for p, ok in zip(parts, given) if ok]).encode(), np.uint8)
+        other = (_joined_bytes(self.bytes_a, ids_a) != want) | (_joined_bytes(self.bytes_b, ids_b) != want)
+        if other.any():
+            given[np.searchsorted(np.cumsum(sizes * given), np.flatnonzero(other), side="right")] = False
+            (ids_a, n_a), (ids_b, n_b) = kept(ids_a, n_a), kept(ids_b, n_b)
+        if not given.any():
+            return [b""] * len(parts)
+        # every part ends at a cut: all of them are one pair of token streams
+        ends_a, ends_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)  # groups
+        codes = np.empty(len(ids_a) + len(ids_b), "<u4")
+        codes[np.arange(len(ids_a)) + np.searchsorted(of_b, of_a, side="left")] = 2 * ids_a + (cuts[of_a] == ends_a)
+        codes[np.arange(len(ids_b)) + np.searchsorted(of_a, of_b, side="right")] = 2 * (self.n_a + ids_b) + (cuts[of_b] == ends_b)
+        raw, ends = codes.tobytes(), (4 * np.cumsum(n_a + n_b)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def stream(self, part: str, chunk: int) -> tuple[int, int, list[dict]] | None:
+        """(A tokens, B tokens, fragments) of a segment beyond one range; None as b"" above."""
+        ia = self.tok.encode(" " + part, add_special_tokens=False).ids
+        (ia, _), (ib, _) = _flat([ia]), _flat([self.sp.encode(part)])
+        want = (" " + part).encode()
+        if (self.len_b[ib] == 0).any() or any(
+            _joined_bytes(table, ids).tobytes() != want for table, ids in ((self.bytes_a, ia), (self.bytes_b, ib))
+        ):
+            return None
+        return len(ia), len(ib), fragments(ia, np.cumsum(self.len_a[ia]), ib, np.cumsum(self.len_b[ib]), chunk)
+
+    def written(self, codes: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The codes as text, and where each begins and ends there; ";" stands behind every group."""
+        taken = self.text.take(pa.array(codes))
+        return memoryview(taken.buffers()[2] or b""), np.frombuffer(taken.buffers()[1], np.int32)[: len(codes) + 1]
+
+
+def _groups(parts: list[str]) -> Iterator[list[str]]:
+    """Runs of ``parts`` that the libraries encode at once."""
+    some, size = [], 0
+    for part in parts:
+        if some and (len(some) == ENCODED_PARTS or size + len(part) > ENCODED_CHARS):
+            yield some
+            some, size = [], 0
+        some.append(part)
+        size += len(part)
+    if some:
+        yield some
+
+
+def _flat(listed: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, listed), np.int64, len(listed))
+    return np.fromiter(chain.from_iterable(listed), np.int64, int(n.sum())), n
+
+
+def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``n`` values."""
+    total, ends = np.append(0, np.cumsum(values)), np.cumsum(n)
+    return total[ends] - total[ends - n]
+
+
+def _joined_bytes(table: pa.Array, ids: np.ndarray) -> np.ndarray:
+    _, ends, data = table.take(pa.array(ids)).buffers()
+    return np.frombuffer(data or b"", np.uint8)[: np.frombuffer(ends, np.int32)[len(ids)]]
+
+
+def _range(encoder: Encoder, codes: list[np.ndarray]) -> dict:
     """The fragment of adjacent closed segments: their concatenation, the first group as head."""
-    head, _, body = ";".join([part[3] for part in parts]).partition(";")
+    text, _ = encoder.written(np.concatenate(codes))
+    head, _, body = str(text, "ascii").removesuffix(";").partition(";")
     ha, hb = ([int(i) for i in side.split(",")] for side in head.split("|"))
     return dict(cut=True, ha=ha, hb=hb, body=body, ta=[], tb=[])
 
 
-def ranges(parts: list[tuple], chunk: int) -> list[dict]:
-    """The fragments of a text of more than one range."""
-    out, held, size = [], [], 0
-    for part in parts:
-        if held and (size + part[0] > chunk or part[4] is None):
-            out.append(_range(held))
-            held, size = [], 0
-        if part[4] is None:
+def ranges(encoder: Encoder, text: str, chunk: int) -> tuple[int, int, list[dict]]:
+    """A tokens, B tokens and fragments of a text of more than one range; (0, 0, []) if a tokenizer
+    does not give it back."""
+    parts = encoder.split(text)
+    sizes = [len(part.encode()) + 1 for part in parts]
+    coded = pa.array([part for part, size in zip(parts, sizes) if size <= chunk], pa.string()).dictionary_encode()
+    flat, stops = encoder.codes(coded.dictionary)
+    starts = np.append(0, stops[:-1])
+    codes = (flat[starts[i] : stops[i]] for i in coded.indices.to_numpy())
+    n_a, n_b, out, held, held_size = 0, 0, [], [], 0
+    for part, size in zip(parts, sizes):
+        if held and held_size + size > chunk:
+            out.append(_range(encoder, held))
+            held, held_size = [], 0
+        if size > chunk:
+            found = encoder.stream(part, chunk)
+            if found is None:
+                return 0, 0, []
             # links are the last ids of closed groups: read back from them at the end
-            out += [{k: v for k, v in frag.items() if k != "links"} for frag in part[3]]
+            out += [{k: v for k, v in frag.items() if k != "links"} for frag in found[2]]
+            n_a, n_b = n_a + found[0], n_b + found[1]
         else:
-            held.append(part)
-            size += part[0]
-    return out + ([_range(held)] if held else [])
+            held.append(next(codes))
+            held_size += size
+            if not len(held[-1]):
+                return 0, 0, []
+            own = held[-1] < 2 * encoder.n_a
+            n_a, n_b = n_a + int(own.sum()), n_b + int((~own).sum())
+    return n_a, n_b, out + ([_range(encoder, held)] if held else [])
 
 
 def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -> DataFrame:
@@ -269,7 +366,7 @@ def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTE
         encoder = _WORKER[a_path, b_path, chunk]
         for batch in batches:
             for part in byte_slices(batch, "text", limit=SLICE_BYTES, rows=SLICE_ROWS):
-                yield _aligned(encoder, part, chunk)
+                yield from _aligned(encoder, part, chunk)
 
     return docs.mapInArrow(
         run,
@@ -278,39 +375,56 @@ def tokenized(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTE
     )
 
 
-def _aligned(encoder: Encoder, batch: pa.RecordBatch, chunk: int) -> pa.RecordBatch:
-    texts = [encoder.split(text) if text else [] for text in batch.column("text").to_pylist()]
-    known = encoder.encode(set().union(*texts), chunk)
-    cols = {name: [] for name in ("row", "doc_id", "n_a", "n_b", "k", "n_k", "digest", "frag")}
-    links, n_links = [], []
-    for row, doc_id, words in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), texts):
-        parts = [known[word] for word in words]
-        if None in parts:
-            parts = []
-        size = sum([part[0] for part in parts])
-        frags, digest, own = [None], "", b""
-        if size > chunk:
-            frags, digest = ranges(parts, chunk), None
-        elif parts:
-            digest = hashlib.sha256(";".join([part[3] for part in parts]).encode()).hexdigest()
-            own = b"".join([part[4] for part in parts])
-        n_a, n_b = sum([part[1] for part in parts]), sum([part[2] for part in parts])
-        for k, frag in enumerate(frags):
-            values = (row, doc_id, n_a, n_b, k, len(frags), digest, frag)
-            for name, value in zip(cols, values):
-                cols[name].append(value)
-            links.append(own)
-            n_links.append(len(own) // 8)
-    pairs = np.frombuffer(b"".join(links), np.int32).reshape(-1, 2)
-    pairs = pa.StructArray.from_arrays(
-        [pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"]
-    )
-    cols["n_links"] = n_links
+def _aligned(encoder: Encoder, batch: pa.RecordBatch, chunk: int) -> Iterator[pa.RecordBatch]:
+    texts = pc.fill_null(batch.column("text"), "")
+    long = pc.greater_equal(pc.binary_length(texts), chunk)
+    yield _short(encoder, batch.filter(pc.invert(long)))
+    for one in batch.filter(long).to_pylist():
+        n_a, n_b, frags = ranges(encoder, one["text"], chunk)
+        for k, frag in enumerate(frags or [None]):
+            row = dict(one, n_a=n_a, n_b=n_b, k=k, n_k=max(1, len(frags)), n_links=0, links=[], frag=frag)
+            row["digest"] = None if frags else ""
+            yield pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
+
+
+def _short(encoder: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts of one range."""
+    n = batch.num_rows
+    order, lists = encoder.split_all(pc.fill_null(batch.column("text"), ""))
+    batch = batch.take(pa.array(order))
+    coded = lists.flatten().dictionary_encode()
+    flat, stops = encoder.codes(coded.dictionary)
+    at, words = coded.indices.to_numpy(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    own = np.diff(stops, prepend=0)
+    size, of = own[at], np.repeat(np.arange(n), words)
+    size[(np.bincount(of[size == 0], minlength=n) > 0)[of]] = 0  # one segment without tokens: none at all
+    ends = np.cumsum(size)
+    source = np.repeat((stops - own)[at] - (ends - size), size)
+    source += np.arange(len(source))
+    codes = flat[source].astype(np.int64)
+    last = np.append(0, ends)[np.append(0, np.cumsum(words))]
+    of_a, closes = codes < 2 * encoder.n_a, codes % 2 == 1
+    n_a = _sums(of_a, np.diff(last))
+    a, b = codes[of_a & closes] // 2, codes[~of_a & closes] // 2 - encoder.n_a
+    n_links = _sums(of_a & closes, np.diff(last))
+    text, places = encoder.written(codes)
+    places = places[last].tolist()
+    digests = [hashlib.sha256(text[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(places, places[1:])]
+    pairs = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["a", "b"])
     offsets = pa.array(np.append(0, np.cumsum(n_links)), pa.int32())
-    cols["links"] = pa.ListArray.from_arrays(offsets, pairs)
-    return pa.RecordBatch.from_arrays(
-        [cols[f.name] if f.name == "links" else pa.array(cols[f.name], f.type) for f in _SCHEMA], names=_SCHEMA.names
-    )
+    columns = {
+        "row": batch.column("row"),
+        "doc_id": batch.column("doc_id"),
+        "n_a": n_a,
+        "n_b": np.diff(last) - n_a,
+        "k": np.zeros(n, np.int32),
+        "n_k": np.ones(n, np.int32),
+        "n_links": n_links,
+        "digest": pa.array(digests, pa.string()),
+        "links": pa.ListArray.from_arrays(offsets, pairs),
+        "frag": pa.nulls(n, _SCHEMA.field("frag").type),
+    }
+    return pa.RecordBatch.from_pydict(columns, schema=_SCHEMA)
 
 
 _LONGS = pa.list_(pa.int64())
@@ -422,7 +536,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, chunk: int = CHUNK_BYTES) -
         F.col("text").cast("string").alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    frags = written(tokenized(rows, a_path, b_path, chunk), "alignment-fragments")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        frags = written(tokenized(rows, a_path, b_path, chunk), "alignment-fragments")
     one = frags.where(F.col("n_k") == 1).select("row", "doc_id", "n_a", "n_b", "n_links", "digest", "links")
     multi = frags.where(F.col("n_k") > 1).select("row", "doc_id", "n_a", "n_b", "k", "n_k", "frag")
     frag = F.col("frag")

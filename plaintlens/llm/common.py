@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,22 @@ def map_texts(
     return docs.mapInArrow(run, schema)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Plans run inside send at most about ``limit`` bytes to a Python worker at once (a longer row
+    alone)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, str(limit))
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the folder that all executors share: cuts the lineage, so a
     lost executor repeats its own tasks only, and columns are read back as needed."""

@@ -110,3 +110,35 @@ def test_only_long_texts_store_groups(spark):
     rows = tokenized(docs, A, B, 100).collect()
     assert {r.doc_id for r in rows if r.frag is not None} == {2}
     assert all(r.digest and len(r.links) == 3 for r in rows if r.doc_id == 1)
+
+
+def test_new_segments_reach_the_libraries_in_bounded_groups(monkeypatch):
+    import pyarrow as pa
+
+    from plaintlens.llm import alignment
+
+    encoder, sizes = alignment.Encoder(A, B), []
+
+    class Watched:
+        def encode(self, parts, **options):
+            sizes.append(len(parts))
+            return sp.encode(parts, **options)
+
+    sp, encoder.sp = encoder.sp, Watched()
+    text = " ".join(f"w{i}" for i in range(12_000))
+    batch = pa.RecordBatch.from_pydict({"row": [0], "doc_id": [1], "text": [text]})
+    (out,) = alignment._aligned(encoder, batch, 1 << 20)
+    assert sum(sizes) == 12_000 and max(sizes) <= alignment.ENCODED_PARTS
+    ia, _, ib, _ = streams(text)
+    assert (out.column("n_a")[0].as_py(), out.column("n_b")[0].as_py()) == (len(ia), len(ib))
+
+
+def test_batches_are_bounded_while_texts_are_encoded(spark):
+    from plaintlens.llm.common import arrow_batches
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    with arrow_batches(spark, 1 << 16):
+        docs = spark.range(0, 200, 1, 1).selectExpr("repeat('x', 10000) AS text")
+        sizes = docs.mapInArrow(lambda bs: (b.slice(0, 1) for b in bs), "text string").count()
+    assert sizes > 20 and spark.conf.get(name, None) == before
