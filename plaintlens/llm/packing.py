@@ -31,11 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plaintlens.llm.common import byte_slices, texts
-from plaintlens.llm.pretokens import Cache, Numbers, joined, spread
+from plaintlens.llm.pretokens import Numbers, Recent, spread
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Windows of a group, room left in each for imbalance, and the longest piece of a remainder.
 GROUP_WINDOWS, ROOM, PIECE = 64, 6, 128
+#: Text a task encodes at once, parts that the library encodes at once, and different parts kept in
+#: a Python worker, which lives on between tasks and stages.
+SLICE_BYTES, ENCODED, CACHED = 2 << 20, 4096, 1_000_000
 #: The shortest sequence that a task's rest is cut into while there are windows for what is left.
 SHORTEST = 64
 
@@ -112,26 +115,29 @@ class WordEncoder:
         parting = spec["pre_tokenizer"]["pretokenizers"][0]
         if steps != ["NFC", "Replace", "Lowercase"] or parting["pattern"]["Regex"] != PARTS:
             raise ValueError("only lower-case word vocabularies are supported")
-        self.parts = Cache(1_000_000)
+        self.parts = Recent(CACHED)
 
     @staticmethod
     def _encoded(library, wanted: list[str]) -> list[bytes]:
         out = []
-        for start in range(0, len(wanted), 20_000):
+        for start in range(0, len(wanted), ENCODED):
             done = library.encode_batch_fast(
-                wanted[start : start + 20_000], add_special_tokens=False
+                wanted[start : start + ENCODED], add_special_tokens=False
             )
             out += [array("I", e.ids).tobytes() for e in done]
         return out
 
-    def _of_parts(self, parts: pa.Array) -> Numbers:
-        listed = parts.to_pylist()
-        new = self.parts.missing(listed)
+    def _new_parts(self, new: list[str]) -> list[bytes]:
         whole = [part for part in new if _UNCUT.search(part)]
-        self.parts.update(zip(whole, self._encoded(self.library, whole)))
-        bare = [part for part in new if not _UNCUT.search(part)] if whole else new
-        self.parts.update(zip(bare, self._encoded(self.bare, bare)))
-        return joined(list(map(self.parts.__getitem__, listed)))
+        if not whole:
+            return self._encoded(self.bare, new)
+        found = dict(zip(whole, self._encoded(self.library, whole)))
+        bare = [part for part in new if part not in found]
+        found.update(zip(bare, self._encoded(self.bare, bare)))
+        return [found[part] for part in new]
+
+    def _of_parts(self, parts: pa.Array) -> Numbers:
+        return self.parts.numbers(parts, self._new_parts)
 
     def __call__(self, column: pa.Array) -> list[bytes]:
         other = pc.match_substring_regex(column, self.OTHER)
@@ -275,7 +281,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> D
             )
 
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", limit=SLICE_BYTES):
                 encoded = encode(part.column("text"))
                 ids_of = zip(part.column("doc_id").to_pylist(), encoded)
                 yield rows(s for doc_id, ids in ids_of for s in packer.add(doc_id, ids + end))
