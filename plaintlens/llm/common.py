@@ -78,9 +78,20 @@ def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def task_count(spark: SparkSession, amount: int, each: int) -> int:
+    """Tasks, and so files, for ``amount`` of rows or bytes: one for ``each``, four a core at least.
+
+    Follows the data, where ``spark.sql.shuffle.partitions`` may be set far higher: each file that
+    is made costs requests, and on a local file system Hadoop starts three processes for it.
+    """
+    return max(4 * spark.sparkContext.defaultParallelism, -(-amount // each))
+
+
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the folder that all executors share: cuts the lineage, so a
-    lost executor repeats its own tasks only, and columns are read back as needed."""
+    lost executor repeats its own tasks only, and columns are read back as needed. With ``files``,
+    neighbouring partitions are written by one task, so that there are no more files than that."""
     path = scratch_path(df.sparkSession, name)
+    df = df if files is None else df.coalesce(files)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

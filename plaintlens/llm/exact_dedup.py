@@ -18,11 +18,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import texts, written
+from plaintlens.llm.common import task_count, texts, written
 
 #: A chunk has 512 characters at least, ends after a sentence end or one of these word ends, and
 #: has 8,192 characters at most.
 CHUNK_PATTERN = r"(?s).{510,8190}?[dghkpz.!?\n][ \n]|.{1,8192}"
+#: Documents for which the table of groups gets a file.
+FILE_ROWS = 100_000
 
 
 def chunk_list(text: Column) -> Column:
@@ -106,11 +108,12 @@ def exact_dedup(docs: DataFrame, chunk_hash: Callable[[Column], Column] = F.xxha
     per recipe against its documents, so a group holding a third of all rows can be split.
     """
     listed = written(recipes(docs, chunk_hash), "recipes")
+    files = task_count(docs.sparkSession, listed.count(), FILE_ROWS)
     groups = listed.groupBy("recipe").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")
     )
     # written, so the join deals out both sides anew and can split the documents of a hot recipe
-    return listed.join(written(groups, "recipe-groups"), "recipe").select(
+    return listed.join(written(groups, "recipe-groups", files), "recipe").select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
         "group_size",

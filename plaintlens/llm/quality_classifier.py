@@ -130,6 +130,12 @@ def log_odds(p):
     return np.log(p / (1 - p))
 
 
+def deviations(centred: np.ndarray) -> np.ndarray:
+    """Standard deviations of columns with mean zero, some columns at a time."""
+    blocks = np.array_split(centred, -(-centred.shape[1] // 256), axis=1)
+    return np.sqrt(np.concatenate([np.square(b).sum(axis=0) for b in blocks]) / len(centred))
+
+
 class View:
     """Logistic regression on standardised features."""
 
@@ -137,11 +143,13 @@ class View:
         self.penalty = penalty
 
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 200) -> View:
-        x = x.astype(np.float64)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0)
+        z = x.astype(np.float64)  # the only copy; standardised in place
+        self.mean = z.mean(axis=0)
+        z -= self.mean
+        self.scale = deviations(z)
         # what hardly ever varies in the sample must not blow up elsewhere
         self.scale = np.where(self.scale < 1e-3, 1.0, self.scale)
-        z = (x - self.mean) / self.scale
+        z /= self.scale
         turn = np.ones(z.shape[1])
         for _ in range(20):  # power iteration: how steep the loss can be
             turn = z.T @ (z @ (turn / max(np.linalg.norm(turn), 1e-12))) / len(z)
@@ -156,7 +164,9 @@ class View:
         return self
 
     def odds(self, x: np.ndarray) -> np.ndarray:
-        return (x - self.mean) / self.scale @ self.weights[:-1] + self.weights[-1]
+        z = x - self.mean
+        z /= self.scale
+        return z @ self.weights[:-1] + self.weights[-1]
 
 
 @dataclass
@@ -261,8 +271,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: CoTraining = CoTraining())
     rows = sampled(docs, wanted, bound + settings.pool)
     if not rows:
         return None
-    x = np.stack([np.frombuffer(r.features, np.float16) for r in rows]).astype(np.float32)
+    # kept in half precision as it came: the driver holds one wide copy, of the view being fitted
+    x = np.frombuffer(b"".join(r.features for r in rows), np.float16).reshape(len(rows), -1)
     y = np.array([-1 if r.quality is None else r.quality for r in rows])
+    del rows
     two = x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:]
     seen = np.flatnonzero(y >= 0)
     seen = np.random.default_rng(7).permutation(seen)
@@ -270,10 +282,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: CoTraining = CoTraining())
     train = np.sort(seen[len(held) :])
     if len(set(y[train])) < 2 or len(set(y[held])) < 2:
         return None
-    pick = lambda rows: tuple(v[rows] for v in two)
-    return co_train(
-        pick(train), y[train], pick(held), y[held], pick(np.flatnonzero(y < 0)), settings
+    labelled, held_out, pool = (
+        tuple(v[of] for v in two) for of in (train, held, np.flatnonzero(y < 0))
     )
+    del x, two
+    return co_train(labelled, y[train], held_out, y[held], pool, settings)
 
 
 def quality_scores(

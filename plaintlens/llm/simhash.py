@@ -27,12 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import map_texts, texts, written
+from plaintlens.llm.common import map_texts, task_count, texts, written
 from plaintlens.llm.components import connected_components
 
 BITS = 64
 #: Members of a bucket beyond which it is split.
 BUCKET = 1_000
+#: Fingerprints for which an intermediate table gets a file.
+FILE_ROWS = 500_000
 
 #: Byte -> its eight bits in eight byte-wide lanes.
 _OCTETS = np.arange(256, dtype=np.uint8)[:, None]
@@ -307,10 +309,11 @@ def linked(buckets: DataFrame, distance: int, find: Callable) -> DataFrame:
 def simhash_components(docs: DataFrame, k: int = 3, distance: int = 3) -> DataFrame:
     """One row per input row: doc_id, fingerprint, component_id."""
     prints = written(fingerprints(docs, k), "fingerprints")
+    files = task_count(docs.sparkSession, prints.count(), FILE_ROWS)
     different = written(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different-fingerprints"
+        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different-fingerprints", files
     )
-    roots = connected_components(links(different, distance))
+    roots = connected_components(links(different, distance), files)
     rooted = different.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -114,3 +115,20 @@ def test_a_few_wrong_good_labels_let_no_junk_through(n, wrong):
     model = co_train(train, y, held, y_held, tuple(v[:0] for v in train), CoTraining())
     kept = model.scores(*unseen)[2] >= model.threshold
     assert kept[y_unseen == 0].mean() < 0.1 and kept[y_unseen == 1].mean() > 0.95
+
+
+def test_fitting_holds_one_wide_copy():
+    rng = np.random.default_rng(3)
+    x = rng.random((1_500, 2_059)).astype(np.float16)
+    y = (rng.random(1_500) < 0.5).astype(float)
+    wide = x.size * 8
+    tracemalloc.start()
+    view = View(1e-2).fit(x, y, steps=5)
+    odds = view.odds(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * wide
+    plain = x.astype(float)
+    scale = np.where(plain.std(axis=0) < 1e-3, 1.0, plain.std(axis=0))
+    assert np.array_equal(view.mean, plain.mean(axis=0)) and np.array_equal(view.scale, scale)
+    assert np.array_equal(odds, (plain - view.mean) / scale @ view.weights[:-1] + view.weights[-1])
