@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plaintlens.llm.common import texts, written
+from plaintlens.llm.common import task_count, texts, written
 
 LENGTH, CORE = 100, 32
 REACH = LENGTH - CORE + 1  # anchors that a window chooses from
@@ -540,21 +540,23 @@ def spans_of(ranges: bytes, n_bytes: int) -> np.ndarray:
     return np.stack([rows[new, 0], ends[np.append(np.flatnonzero(new)[1:], len(rows)) - 1]], axis=1)
 
 
-def removed_windows(keyed: DataFrame, sizes: Sizes) -> DataFrame:
-    """(key, data): ranges of the windows that repeat an earlier one."""
+def removed_windows(keyed: DataFrame, total: int, sizes: Sizes) -> DataFrame:
+    """(key, data): ranges of the windows that repeat an earlier one; ``total`` bytes of text."""
     spark = keyed.sparkSession
-    total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = task_count(spark, total, sizes.bucket_bytes)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // sizes.bucket_bytes))
     expected = max(1.0, total * 2 / (REACH + 1))
     found = written(
-        settle_records(find_anchors(keyed, parts, sizes.sample / expected, sizes), parts), "suffix-records"
+        settle_records(find_anchors(keyed, parts, sizes.sample / expected, sizes), parts),
+        "suffix-records",
+        files,
     )
     # the share above bounds the sample at any size; the limit guards against a repeated core
     sample = found.filter(F.col("kind") == SAMPLED).limit(4 * sizes.sample).select("data").collect()
     splitters = Splitters([bytes(r.data) for r in sample], parts)
     compare = found.filter(F.col("kind") == COMPARE).select("key", "data")
     resolved = written(
-        sort_buckets(suffixes(keyed, compare, splitters), parts), "suffix-repeats"
+        sort_buckets(suffixes(keyed, compare, splitters), parts), "suffix-repeats", files
     )
     spread = across_boundaries(
         resolved.filter(F.col("kind") == WINDOW).select("key", "data", "start")
@@ -568,8 +570,11 @@ OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def _with_ranges(keyed: DataFrame, sizes: Sizes) -> DataFrame:
-    ranges = removed_windows(keyed, sizes).groupBy("key").agg(F.collect_list("data").alias("ranges"))
-    return keyed.join(ranges, "key", "left").drop("key")
+    total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = removed_windows(keyed, total, sizes)
+    ranges = ranges.groupBy("key").agg(F.collect_list("data").alias("ranges"))
+    files = task_count(keyed.sparkSession, total, sizes.bucket_bytes)
+    return keyed.join(ranges, "key", "left").drop("key").coalesce(files)
 
 
 def _cut(batch: pa.RecordBatch) -> Iterator[tuple[bytes, bytes, int]]:

@@ -8,6 +8,7 @@ import pytest
 from plaintlens.llm import common
 from plaintlens.llm.exact_dedup import exact_dedup
 from plaintlens.llm.simhash import simhash_components
+from plaintlens.llm.suffix_dedup import suffix_dedup
 
 
 @pytest.fixture
@@ -24,6 +25,7 @@ def many_partitions(spark):
 @pytest.mark.parametrize(
     "operator, tables",
     [
+        (suffix_dedup, {"suffix-records", "suffix-repeats"}),
         (simhash_components, {"different-fingerprints", "edges", "least", "large"}),
         (exact_dedup, {"recipe-groups"}),
     ],
